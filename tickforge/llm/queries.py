@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import substring_dedup, suffix_dedup
+from tickforge.llm import jaccard_join, substring_dedup, suffix_dedup
 from tickforge.llm.scratch import ship
 
 
@@ -24,4 +24,8 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op7_suffix_array_dedup)}
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op4_substring_dedup, op7_suffix_array_dedup, op9_ngram_jaccard_join)}
