@@ -22,6 +22,7 @@ reducer one entry per map batch.  No pair of documents is ever emitted.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -156,36 +157,35 @@ def as_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def settle_bucket(blocks: int, later_only: bool) -> Callable:
     """Compares all entries of a partition; yields (block, payload) of the repeats."""
+    slot = S.slots(blocks)
+
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        parts, hits = [], []
         for batch in batches:
-            for kind, b, raw in zip(batch["kind"].to_pylist(), batch["bucket"].to_pylist(), batch["payload"], strict=True):
+            for kind, raw in zip(batch["kind"].to_pylist(), batch["payload"], strict=True):
+                docs, pos, *more = S.unpack(raw.as_py())
                 if kind:
-                    yield flags([(b, raw.as_py())])
+                    hits.append((docs, pos))
                 else:
-                    parts.append(S.unpack(raw.as_py()))
+                    parts.append((docs, pos, *more))
         if parts:
             docs, pos, hashes, many = (np.concatenate(x) for x in zip(*parts, strict=True))
             parts.clear()
             order, again, _ = repeated(docs, pos, hashes, many, later_only)
-            hit = np.sort(order[again])
-            docs, pos = docs[hit], pos[hit]
-            block = block_of(docs, blocks)
-            out = []
-            for b, i in S.split_by(block, blocks):
-                i = i[np.lexsort((pos[i], docs[i]))]
-                out.append((b, S.pack(docs[i], pos[i])))
-            yield flags(out)
+            hit = order[again]
+            hits.append((docs[hit], pos[hit]))
+        if hits:
+            docs, pos = (np.concatenate(x) for x in zip(*hits, strict=True))
+            order = np.lexsort((pos, docs))
+            docs, pos = docs[order], pos[order]
+            out = [(slot[b], S.pack(docs[i], pos[i])) for b, i in S.split_by(block_of(docs, blocks), blocks)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary())], names=["block", "payload"])
 
     return f
 
 
-def flags(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "payload"])
-
-
 def block_of(docs: np.ndarray, blocks: int) -> np.ndarray:
-    """The block of each document, by a hash of its id."""
+    """The block of each document, 0 to blocks - 1, by a hash of its id; tables have slots(blocks) of it."""
     return (mix(docs.view(np.uint64) + np.uint64(0x5851F42D4C957F2D)) % np.uint64(blocks)).astype(np.int64)
 
 
@@ -201,22 +201,21 @@ def flagged_rows(doc_ids: np.ndarray, payloads: list[bytes]) -> tuple[np.ndarray
 
 
 def store(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, int]:
-    """The texts by block, with their other columns as one struct, and the number of blocks."""
+    """The texts by block, with their other columns as one struct, and the number of blocks: a bucketed table, so that each later pass leaves the texts in place."""
     S.ship(spark)
     n = S.text_partitions(spark, docs)
-    blocks = 4 * n
-    others = [docs[c].alias(c) for c in docs.columns if c not in ("doc_id", "text")]
-    table = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.struct(*others, F.lit(0).alias("_")).alias("rest"))
+    slot = S.slots(n)
 
     def f(batches):
         for b in batches:
-            yield b.append_column("block", pa.array(block_of(S.ids(b["doc_id"]), blocks), pa.int32()))
+            yield b.append_column("block", pa.array(slot[block_of(S.ids(b["doc_id"]), n)], pa.int32()))
 
-    name = f"tickforge_{S.uuid.uuid4().hex}"
+    name = f"tickforge_{uuid.uuid4().hex}"
+    table = S.with_rest(docs)
     table = table.mapInArrow(f, f"{table._jdf.schema().toDDL()}, block int")
     table.repartition(n, "block").write.bucketBy(n, "block").option("compression", "zstd").option("path", f"{S.shared_dir(spark)}/{name}").format("parquet").saveAsTable(name)
     S.release(spark)
-    return spark.table(name), blocks
+    return spark.table(name), n
 
 
 def sent(texts: DataFrame, f: Callable, n: int, blocks: int, later_only: bool) -> DataFrame:

@@ -68,12 +68,42 @@ def text_only(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def with_rest(docs: DataFrame) -> DataFrame:
+    """doc_id, text and rest, a struct of the other columns, whatever their names."""
+    others = [docs[f"`{c}`"].alias(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others, F.lit(0).alias("_")).alias("rest"))
+
+
 def text_partitions(spark: SparkSession, docs: DataFrame, target: int = 16 << 20) -> int:
     """Partitions for work on whole texts: by their total size."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     return max(partitions(spark), -(-size // target))
 
 
+def _bucket(x: np.ndarray, n: int) -> np.ndarray:
+    """The bucket that Spark's hash (Murmur3, 32 bits, seed 42) gives int values."""
+    u = lambda v: v & 0xFFFFFFFF
+    turn = lambda v, k: u(v << k) | (v >> (32 - k))
+    k = u(turn(u(x.astype(np.uint64) * np.uint64(0xCC9E2D51)), 15) * 0x1B873593)
+    h = u(turn(42 ^ k, 13) * 5 + 0xE6546B64) ^ 4
+    h = u((h ^ (h >> 16)) * 0x85EBCA6B)
+    h = u((h ^ (h >> 13)) * 0xC2B2AE35)
+    h ^= h >> 16
+    return (h.astype(np.uint32).view(np.int32).astype(np.int64)) % n
+
+
+def slots(n: int) -> np.ndarray:
+    """n ints, the k-th of which Spark's hash puts into bucket k of n: blocks of documents that fill the buckets evenly."""
+    out, at = np.full(n, -1, np.int64), 0
+    while (out < 0).any():
+        x = np.arange(at, at + 16 * n + 64)
+        b, first = np.unique(_bucket(x, n), return_index=True)
+        new = out[b] < 0
+        out[b[new]] = x[first[new]]
+        at = x[-1] + 1
+    return out.astype(np.int32)
+
+
 # --- packed arrays ---------------------------------------------------------
 
 _MISSING = np.iinfo(np.int64).min
