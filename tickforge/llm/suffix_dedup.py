@@ -41,7 +41,7 @@ def difference_set(q: int) -> tuple[int, tuple[int, ...]]:
 PERIOD, COVER = difference_set(17)
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, rounds: int = 4) -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, rounds: int = 3) -> DataFrame:
     """Removes every byte that a ``length``-byte string covers which also starts anywhere else.
 
     Texts are UTF-8 bytes; matches do not cross documents; strings are judged
