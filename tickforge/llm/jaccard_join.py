@@ -225,7 +225,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     total = texts.count()
     hot, weight = frequent(texts, n, total)
     width = S.partitions(spark)
-    groups = 4 * width
+    groups = max(1, width // FRAGMENTS)
 
     def lists(batches):
         out = Lists(width, groups, True)
@@ -277,6 +277,8 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
 def gathered(spark: SparkSession, found: DataFrame, width: int, blocks: int, name: str) -> DataFrame:
     """Distinct pairs by group (kind 1), and by block the (document, group) that they ask for (kind 2)."""
 
+    slot = S.slots(blocks)
+
     def f(batches):
         held: dict[int, list[bytes]] = {}
         for b in batches:
@@ -286,7 +288,7 @@ def gathered(spark: SparkSession, found: DataFrame, width: int, blocks: int, nam
             a, b = read_pairs(held.pop(g))
             wanted = np.unique(np.concatenate([a, b]))
             rows = [(1, g, a.tobytes() + b.tobytes())]
-            rows += [(2, k, S.pack(wanted[i], np.full(len(i), g, np.int32))) for k, i in S.split_by(repeats.block_of(wanted, blocks), blocks)]
+            rows += [(2, int(slot[k]), S.pack(wanted[i], np.full(len(i), g, np.int32))) for k, i in S.split_by(repeats.block_of(wanted, blocks), blocks)]
             yield repeats.as_batch(rows)
 
     out = S.settle(spark, found.repartitionById(width, F.col("bucket") % width).mapInArrow(f, _PAIRS), name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import jaccard_join, packing, substring_dedup, suffix_dedup
+from tickforge.llm import jaccard_join, language_id, packing, substring_dedup, suffix_dedup, toxicity
 from tickforge.llm.scratch import ship
 
 
@@ -20,11 +20,20 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -38,4 +47,4 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op7_suffix_array_dedup, op8_packing, op9_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_substring_dedup, op5_toxicity, op7_suffix_array_dedup, op8_packing, op9_ngram_jaccard_join)}
