@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import jaccard_join, language_id, packing, substring_dedup, suffix_dedup, toxicity
+from tickforge.llm import jaccard_join, language_id, lm_scoring, packing, substring_dedup, suffix_dedup, toxicity, url_filter
 from tickforge.llm.scratch import ship
 
 
@@ -24,6 +24,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(spark, table(spark, sf_dir, "documents"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark, spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -47,4 +55,4 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_substring_dedup, op5_toxicity, op7_suffix_array_dedup, op8_packing, op9_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_url_filter, op4_substring_dedup, op5_toxicity, op7_suffix_array_dedup, op8_packing, op9_ngram_jaccard_join)}
