@@ -17,8 +17,8 @@ from tickforge.llm import scratch as S
 
 #: Words, and parts of words, whose ids a worker keeps, at most.
 CACHE = 400_000
-#: Windows that are balanced together, and the mean fill that is aimed at in one of 2048.
-GROUP, SLACK = 16, 10
+#: Windows that are balanced together.
+GROUP = 16
 
 
 #: Texts of these characters alone (ASCII, Latin-1 and Latin Extended-A, no special token) are cut into words and parts here; others go to the library whole.
@@ -128,7 +128,7 @@ class Packer:
             yield row, start, c, self.next, 0
             self.next += 1
             start += c
-        limit = GROUP * (c - SLACK * c // 2048) if c >= 2048 else GROUP * c
+        limit = GROUP * c
         while start < length:
             take = min(length - start, limit - self.filled)
             self.open.append((row, start, take))
@@ -140,34 +140,45 @@ class Packer:
     def flush(self) -> Iterator[tuple[int, int, int, int, int]]:
         if not self.open:
             return
-        m, largest = -(-self.filled // self.capacity), max(1, self.capacity // 8)
-        while True:
-            pieces = [(row, s, min(largest, start + n - s)) for row, start, n in self.open for s in range(start, start + n, largest)]
-            window, sums = difference(np.array([p[2] for p in pieces]), m)
-            if sums.max() <= self.capacity:
-                break
-            # cut finer while that can help, else one more window
-            if largest > max(1, self.capacity // 32):
-                largest = max(1, largest // 4)
-            else:
-                m += 1
-        offset = np.zeros(m, np.int64)
-        last = None
-        out = []
-        for k in np.lexsort((np.arange(len(pieces)), window)):
-            row, start, n = pieces[k]
-            w = int(window[k])
-            if last is not None and last[0] == row and last[1] + last[2] == start and last[3] == self.next + w:
-                # neighbours of one document in one window are one piece
-                last = (row, last[1], last[2] + n, last[3], last[4])
-                out[-1] = last
-            else:
-                last = (row, start, n, self.next + w, int(offset[w]))
-                out.append(last)
-            offset[w] += n
-        used = {w: i for i, w in enumerate(sorted({x[3] for x in out}))}
-        yield from ((r, s, n, self.next + used[w], o) for r, s, n, w, o in out)
-        self.next += len(used)
+        # the window count rises as soon as the pieces pass the capacity of fewer
+        c, m = self.capacity, -(-self.filled // self.capacity)
+        half = max(1, c // 2)
+        pieces = [(row, s, min(half, start + n - s)) for row, start, n in self.open for s in range(start, start + n, half)]
+        window, sums = difference(np.array([p[2] for p in pieces]), m)
+        held: list[list[tuple[int, int, int]]] = [[] for _ in range(m)]
+        for k, w in enumerate(window.tolist()):
+            held[w].append(pieces[k])
+        # near-equal windows: the few tokens beyond the capacity go where as many are missing
+        room = [w for w in range(m) if sums[w] < c]
+        for w in np.flatnonzero(sums > c).tolist():
+            over = int(sums[w]) - c
+            while over:
+                row, start, n = held[w].pop()
+                off = min(over, n)
+                if off < n:
+                    held[w].append((row, start, n - off))
+                over, start = over - off, start + n - off
+                while off:
+                    to = room[-1]
+                    take = min(off, c - int(sums[to]))
+                    held[to].append((row, start, take))
+                    sums[to] += take
+                    off, start = off - take, start + take
+                    if sums[to] == c:
+                        room.pop()
+        for own in held:
+            offset, last = 0, None
+            for row, start, n in sorted(own):
+                if last and last[0] == row and last[1] + last[2] == start:
+                    last = (row, last[1], last[2] + n, last[3], last[4])
+                else:
+                    if last:
+                        yield last
+                    last = (row, start, n, self.next, offset)
+                offset += n
+            if last:
+                yield last
+                self.next += 1
         self.open, self.filled = [], 0
 
 
@@ -176,10 +187,11 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = 2
 
     A document is its text's ids and then end_id.  Whole windows of a long
     document are sequences of their own; the rest of the documents of a
-    partition are balanced in groups of GROUP windows, cut finer where a window
-    would pass the capacity, and given one more window where that is not
-    enough.  No shuffle: each partition packs its own rows.  sequence_id is
-    unique; offsets in a sequence are gapless from 0.
+    partition are balanced in groups of GROUP full windows (fewer at the end of
+    a partition, where the last ones may need padding).  Tokens that differencing
+    leaves above a window's capacity are cut off and fill windows below it.  No
+    shuffle: each partition packs its own rows.  sequence_id is unique; offsets
+    in a sequence are gapless from 0.
 
     Null and empty texts have the end id alone.  Repeated rows and rows without
     doc_id are documents of their own.  An empty table gives no pieces.
