@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import jaccard_join, language_id, lm_scoring, packing, substring_dedup, suffix_dedup, toxicity, url_filter
+from tickforge.llm import decontamination, jaccard_join, language_id, lm_scoring, packing, substring_dedup, suffix_dedup, toxicity, url_filter
 from tickforge.llm.scratch import ship
 
 
@@ -42,6 +42,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    out = decontamination.exact_matches(spark, docs.select("doc_id", "text"), benchmark)
+    ids = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -55,4 +62,4 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_url_filter, op4_substring_dedup, op5_toxicity, op7_suffix_array_dedup, op8_packing, op9_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_url_filter, op4_substring_dedup, op5_toxicity, op6_benchmark_decontamination, op7_suffix_array_dedup, op8_packing, op9_ngram_jaccard_join)}
