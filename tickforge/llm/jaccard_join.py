@@ -5,12 +5,12 @@ before frequent, else by hash) gives each document a prefix; two documents
 that link share an n-gram of both prefixes.  For the pairs found there, the
 global order of hashes is cut into FRAGMENTS ranges; each (group of pairs,
 fragment) counts its own part of the overlaps, and the parts are summed per
-pair.
+pair.  Pairs that a first part already rules out are not counted further.
 
 Links inside a group of near copies are far too many to list, and components
-don't need them.  So round one pairs each document only with the smallest
-document of each of its lists (first inside a map task, then among those
-smallest ones).  Round two takes, of the lists again, all pairs whose
+don't need them.  So round one cuts each list into classes of like sizes and
+pairs each document only with the middle one of its class (first inside a map
+task, then among those middle ones).  Round two takes, of the lists again, all pairs whose
 documents are not yet in one component.  After it every pair that shares a
 prefix n-gram is counted or already connected: the components are exact.
 """
@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from tickforge.llm import repeats
 from tickforge.llm import scratch as S
 from tickforge.llm.components import components
-from tickforge.llm.textcore import LOWER_VALUES, SPACE, Rolling, Words, row_chunks
+from tickforge.llm.textcore import LOWER_VALUES, SPACE, Rolling, Words, mix, row_chunks
 
-#: Ranges that the order of n-grams is cut into for counting.
-FRAGMENTS = 4
+#: Ranges that the order of n-grams is cut into for counting, and sixteenths of it that are counted first to rule pairs out.
+FRAGMENTS, SHARE = 4, 3
 #: The n-grams that stand last in the order are found in a sample of about so many documents: those in HOT of them or more.
 SAMPLE, HOT = 8000, 6
 BATCH = 1 << 20
@@ -100,8 +100,8 @@ def frequent(docs: DataFrame, n: int, total: int) -> tuple[np.ndarray, np.ndarra
 class Lists:
     """Gathers (hash, doc, size, label); yields packed rows by hash, with local pairs beside them."""
 
-    def __init__(self, buckets: int, groups: int, stars: bool):
-        self.n, self.groups, self.stars, self.held, self.size = buckets, groups, stars, [], 0
+    def __init__(self, buckets: int, groups: int, stars: bool, percent: int):
+        self.n, self.groups, self.stars, self.percent, self.held, self.size = buckets, groups, stars, percent, [], 0
 
     def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.held.append(columns)
@@ -114,7 +114,7 @@ class Lists:
             h, docs, size, label = (np.concatenate(x) for x in zip(*self.held, strict=True))
             rows = []
             if self.stars:
-                keep, a, b = star(h, docs)
+                keep, a, b = star(h, docs, size, self.percent)
                 rows += packed_pairs(a, b, self.groups)
                 h, docs, size, label = h[keep], docs[keep], size[keep], label[keep]
             for k, i in S.split_by((h >> np.uint64(32)) % np.uint64(self.n), self.n):
@@ -123,15 +123,40 @@ class Lists:
         self.held, self.size = [], 0
 
 
-def star(h: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(entries that are their hash's smallest document, pairs of the others with it)."""
-    order = np.lexsort((docs, h))
+def star(h: np.ndarray, docs: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entries that are a centre of their hash, pairs of the others with theirs).
+
+    The documents of a hash, by size, are cut into classes whose sizes allow
+    links; each class has its middle document as centre.
+    """
+    order = np.lexsort((docs, size, h))
+    h, d, s = h[order], docs[order], size[order].astype(np.int64)
     new = np.ones(len(h), bool)
-    new[1:] = h[order[1:]] != h[order[:-1]]
-    first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-    d = docs[order]
-    other = d != d[first]
-    return np.sort(order[new]), d[first][other], d[other]
+    new[1:] = h[1:] != h[:-1]
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(h))
+    starts = [begin]
+    at = begin[end - begin > 1]
+    stop = end[end - begin > 1]
+    while len(at):
+        # the first entry of each hash that is too large for the class begun at ``at``
+        limit = s[at] * 100 // percent
+        lo, hi = at + 1, stop.copy()
+        while (lo < hi).any():
+            mid = (lo + hi) // 2
+            fits = s[np.minimum(mid, len(s) - 1)] <= limit
+            open_ = lo < hi
+            lo = np.where(open_ & fits, mid + 1, lo)
+            hi = np.where(open_ & ~fits, mid, hi)
+        more = lo < stop
+        at, stop = lo[more], stop[more]
+        starts.append(at)
+    begin = np.sort(np.concatenate(starts))
+    count = np.diff(np.append(begin, len(h)))
+    middle = np.repeat(begin + count // 2, count)
+    other = d != d[middle]
+    x, y = d[middle][other], d[other]
+    return np.sort(order[begin + count // 2]), np.minimum(x, y), np.maximum(x, y)
 
 
 def unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +222,7 @@ def paired(groups: int, stars: bool, percent: int) -> Callable:
             h, docs, size, label = (np.concatenate(x) for x in zip(*parts, strict=True))
             parts.clear()
             if stars:
-                _, a, b = star(h, docs)
+                _, a, b = star(h, docs, size, percent)
                 yield repeats.as_batch(packed_pairs(a, b, groups))
             else:
                 for a, b in across(h, docs, size.astype(np.int64), label, percent):
@@ -225,10 +250,9 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     total = texts.count()
     hot, weight = frequent(texts, n, total)
     width = S.partitions(spark)
-    groups = max(1, width // FRAGMENTS)
 
     def lists(batches):
-        out = Lists(width, groups, True)
+        out = Lists(width, width, True, percent)
         for batch in batches:
             ids = S.ids(batch["doc_id"])
             for a, e, data, off in row_chunks(batch["text"]):
@@ -238,8 +262,8 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
         yield from out.flush()
 
     sent = texts.select("doc_id", "text").mapInArrow(lists, _PAIRS)
-    pairs = gathered(spark, sent.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(groups, True, percent), _PAIRS), width, blocks, "stars")
-    linked = overlaps(spark, texts, pairs, blocks, groups, n, percent)
+    pairs = gathered(spark, sent.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(width, True, percent), _PAIRS), width, blocks, "stars")
+    linked = overlaps(spark, texts, pairs, blocks, n, percent)
     label = S.settle(spark, components(spark, linked), "label")
 
     # Round two: the documents that were in any list of two, by their components so far.
@@ -247,7 +271,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     labels = seen_labels(spark, seen, label, blocks)
 
     def rest(left: pa.Table, right: pa.Table) -> pa.Table:
-        out, made = Lists(width, groups, False), []
+        out, made = Lists(width, width, False, percent), []
         if len(right) and len(left):
             d, l = S.ids(right["doc_id"]), S.ids(right["component"])
             order = np.argsort(d)
@@ -263,8 +287,8 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
         return pa.Table.from_batches(made or [repeats.as_batch([])])
 
     again = texts.select("block", "doc_id", "text").groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(rest, _PAIRS)
-    more = gathered(spark, again.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(groups, False, percent), _PAIRS), width, blocks, "across")
-    linked2 = overlaps(spark, texts, more, blocks, groups, n, percent)
+    more = gathered(spark, again.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(width, False, percent), _PAIRS), width, blocks, "across")
+    linked2 = overlaps(spark, texts, more, blocks, n, percent)
     if not linked2.isEmpty():
         joined = label.select(F.col("u").alias("a"), F.col("component").alias("b")).unionByName(linked2)
         label = S.settle(spark, components(spark, joined), "label")
@@ -296,69 +320,120 @@ def gathered(spark: SparkSession, found: DataFrame, width: int, blocks: int, nam
     return out
 
 
-def overlaps(spark: SparkSession, texts: DataFrame, pairs: DataFrame, blocks: int, groups: int, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: partial overlaps by fragment, summed per pair."""
+def segments(texts: DataFrame, pairs: DataFrame, n: int, f: Callable) -> DataFrame:
+    """Packed parts of the sets that pairs ask for, by f(group) -> [(bucket, take)]; take(hashes) says which belong there."""
 
-    def segments(left: pa.Table, right: pa.Table) -> pa.Table:
+    def made_of(left: pa.Table, right: pa.Table) -> pa.Table:
         made = []
         if len(left) and len(right):
             ids = S.ids(left["doc_id"])
             which, group = repeats.flagged_rows(ids, right["payload"].to_pylist())
-            want, back = np.unique(which, return_inverse=True)
             # repeated rows of one document: the first is enough
+            want = np.unique(which)
+            want = want[np.sort(np.unique(ids[want], return_index=True)[1])]
+            own = np.isin(which, want)
+            back, group = np.searchsorted(want, which[own]), group[own]
             part, ids = left["text"].take(pa.array(want)), ids[want]
-            once = np.zeros(len(ids), bool)
-            once[np.unique(ids, return_index=True)[1]] = True
             for a, e, data, off in row_chunks(part):
                 row, h = ngram_sets(data, off, n)
                 size = np.bincount(row, minlength=e - a)
                 first = np.append(0, np.cumsum(size))
-                own = (back >= a) & (back < e) & once[back]
+                own = (back >= a) & (back < e)
                 r, g = back[own] - a, group[own]
                 order = np.argsort(g, kind="stable")
                 r, g = r[order], g[order]
                 for k in np.unique(g):
                     rs = r[np.searchsorted(g, k) : np.searchsorted(g, k, side="right")]
                     w, i = S.ranges(first[rs], first[rs + 1])
-                    fragment = (h[i] >> np.uint64(62)).astype(np.int64)
-                    for f in range(FRAGMENTS):
-                        m = fragment == f
-                        made.append((0, int(k) * FRAGMENTS + f, S.pack(ids[a:e][rs][w[m]], size[rs][w[m]].astype(np.int32), h[i[m]])))
+                    made += [(0, *x) for x in f(int(k), ids[a:e][rs], size[rs], w, h[i])]
         return pa.Table.from_batches([repeats.as_batch(made)])
 
     wanted = pairs.where("kind = 2").select(F.col("bucket").alias("block"), "payload")
-    parts = texts.select("block", "doc_id", "text").groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(segments, _PAIRS)
-    asked = pairs.where("kind = 1").select("kind", F.explode(F.sequence(F.col("bucket") * FRAGMENTS, F.col("bucket") * FRAGMENTS + FRAGMENTS - 1)).alias("bucket"), "payload")
+    return texts.select("block", "doc_id", "text").groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(made_of, _PAIRS)
+
+
+def common(a: np.ndarray, b: np.ndarray, docs: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections for pairs sorted by a, of sets sorted by (docs, h)."""
+    o = np.zeros(len(a), np.int64)
+    lo_a, hi_a = np.searchsorted(docs, a), np.searchsorted(docs, a, side="right")
+    lo_b, hi_b = np.searchsorted(docs, b), np.searchsorted(docs, b, side="right")
+    cuts = np.append(np.flatnonzero(np.append(True, a[1:] != a[:-1])), len(a)) if len(a) else np.zeros(1, np.int64)
+    for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+        own = h[lo_a[x] : hi_a[x]]
+        for s in range(x, y, 4096) if len(own) else ():  # blocks of the documents paired with this one
+            z = min(y, s + 4096)
+            which, i = S.ranges(lo_b[s:z], hi_b[s:z])
+            at = np.minimum(np.searchsorted(own, h[i]), len(own) - 1)
+            o[s:z] = np.bincount(which, weights=own[at] == h[i], minlength=z - s)
+    return o
+
+
+def sets_and_pairs(t: pa.Table, hash_type) -> tuple[np.ndarray, ...]:
+    """(a, b, docs, sizes, hashes) of a group; pairs by a, sets by document and hash."""
+    kinds, raws = t["kind"].to_pylist(), t["payload"].to_pylist()
+    a, b = read_pairs([r for k, r in zip(kinds, raws, strict=True) if k == 1])
+    have = [S.unpack(r, hash_type)[:3] for k, r in zip(kinds, raws, strict=True) if k == 0]
+    if not have or not len(a):
+        z = np.zeros(0, np.int64)
+        return z, z, z, z, np.zeros(0, hash_type)
+    docs, size, h = (np.concatenate(x) for x in zip(*have, strict=True))
+    order = np.lexsort((h, docs))
+    return a, b, docs[order], size[order].astype(np.int64), h[order]
+
+
+def of_first(docs: np.ndarray, values: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Value at each document's first entry; 0 for documents that have none."""
+    at = np.searchsorted(docs, which)
+    there = np.append(docs, 0)[at] == which
+    return np.where(there & (at < len(docs)), np.append(values, 0)[at], 0)
+
+
+def possible(spark: SparkSession, texts: DataFrame, pairs: DataFrame, blocks: int, n: int, percent: int) -> DataFrame:
+    """The pairs that may still link, once the overlap in the first SHARE sixteenths of the order is known (by 32 bits of the hashes, so never too low)."""
+    width = S.partitions(spark)
+    groups = max(1, width // FRAGMENTS)
+
+    def first_part(g, ids, size, w, h):
+        m = (h >> np.uint64(60)) < SHARE
+        # one entry more for each set, so that its size arrives in any case
+        d, s = np.append(ids, ids[w[m]]), np.append(size, size[w[m]]).astype(np.int32)
+        x = np.append(mix(ids.view(np.uint64)), h[m])
+        order = np.argsort(d, kind="stable")
+        yield g, S.pack(d[order], s[order], ((x >> np.uint64(28)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)[order])
+
+    def kept(t: pa.Table) -> pa.Table:
+        a, b, docs, size, h = sets_and_pairs(t, np.uint32)
+        if len(a):
+            o = common(a, b, docs, h)
+            part_a = np.searchsorted(docs, a, side="right") - np.searchsorted(docs, a) - 1
+            part_b = np.searchsorted(docs, b, side="right") - np.searchsorted(docs, b) - 1
+            na, nb = of_first(docs, size, a), of_first(docs, size, b)
+            most = o + np.minimum(na - part_a, nb - part_b)
+            ok = 100 * most >= percent * (na + nb - most)
+            a, b = a[ok], b[ok]
+        return pa.Table.from_batches([repeats.as_batch(packed_pairs(a, b, groups))])
+
+    parts = segments(texts, pairs, n, first_part)
+    found = parts.unionByName(pairs.where("kind = 1")).groupBy("bucket").applyInArrow(kept, _PAIRS)
+    return gathered(spark, found, width, blocks, "possible")
+
+
+def overlaps(spark: SparkSession, texts: DataFrame, pairs: DataFrame, blocks: int, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: partial overlaps by fragment, summed per pair."""
+    pairs = possible(spark, texts, pairs, blocks, n, percent)
+
+    def by_fragment(g, ids, size, w, h):
+        fragment = (h >> np.uint64(62)).astype(np.int64)
+        for f in range(FRAGMENTS):
+            m = fragment == f
+            yield g * FRAGMENTS + f, S.pack(ids[w[m]], size[w[m]].astype(np.int32), h[m])
 
     def counted(t: pa.Table) -> pa.Table:
-        kinds, raws = t["kind"].to_pylist(), t["payload"].to_pylist()
-        a, b = read_pairs([r for k, r in zip(kinds, raws, strict=True) if k == 1])
-        have = [S.unpack(r)[:3] for k, r in zip(kinds, raws, strict=True) if k == 0]
-        o = na = nb = np.zeros(0, np.int64)
-        if have and len(a):
-            docs, size, h = (np.concatenate(x) for x in zip(*have, strict=True))
-            order = np.lexsort((h, docs))
-            docs, size, h = docs[order], size[order].astype(np.int64), h[order]
-            lo_a, hi_a = np.searchsorted(docs, a), np.searchsorted(docs, a, side="right")
-            lo_b, hi_b = np.searchsorted(docs, b), np.searchsorted(docs, b, side="right")
-            o = np.zeros(len(a), np.int64)
-            size = np.append(size, 0)
-            na, nb = np.where(hi_a > lo_a, size[lo_a], 0), np.where(hi_b > lo_b, size[lo_b], 0)
-            cuts = np.append(np.flatnonzero(np.append(True, a[1:] != a[:-1])), len(a))
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                own = h[lo_a[x] : hi_a[x]]
-                if not len(own):
-                    continue
-                for s in range(x, y, 4096):  # blocks of the documents paired with this one
-                    z = min(y, s + 4096)
-                    which, i = S.ranges(lo_b[s:z], hi_b[s:z])
-                    at = np.minimum(np.searchsorted(own, h[i]), len(own) - 1)
-                    o[s:z] = np.bincount(which, weights=own[at] == h[i], minlength=z - s)
-        else:
-            a, b = a[:0], b[:0]
-        return pa.table({"a": a, "b": b, "na": na, "nb": nb, "o": o})
-
-    each = parts.unionByName(asked).groupBy("bucket").applyInArrow(counted, "a long, b long, na long, nb long, o long")
+        a, b, docs, size, h = sets_and_pairs(t, np.uint64)
+        return pa.table({"a": a, "b": b, "na": of_first(docs, size, a), "nb": of_first(docs, size, b), "o": common(a, b, docs, h)})
+
+    asked = pairs.where("kind = 1").select("kind", F.explode(F.sequence(F.col("bucket") * FRAGMENTS, F.col("bucket") * FRAGMENTS + FRAGMENTS - 1)).alias("bucket"), "payload")
+    each = segments(texts, pairs, n, by_fragment).unionByName(asked).groupBy("bucket").applyInArrow(counted, "a long, b long, na long, nb long, o long")
     summed = each.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("o").alias("o"))
     out = S.settle(spark, summed.where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b"), "linked")
     S.release(spark)

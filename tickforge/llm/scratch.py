@@ -140,7 +140,7 @@ def pack(docs: np.ndarray, values: np.ndarray, hashes: np.ndarray | None = None,
     return head + small + (hashes.tobytes() if hashes is not None else b"")
 
 
-def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray | None]:
+def unpack(raw: bytes, hash_type=np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray | None]:
     n, size, hashed, more = np.frombuffer(raw, np.int64, 4)
     body = zstandard.ZstdDecompressor().decompress(raw[32 : 32 + size])
     step = _from_planes(body[: 8 * n], np.int64, n)
@@ -152,7 +152,7 @@ def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.nd
     start = np.flatnonzero(new)
     before = np.repeat(total[start] - gap[start], np.diff(np.append(start, n)))
     extra = np.frombuffer(body[12 * n : 13 * n], np.uint8) if more else None
-    hashes = np.frombuffer(raw[32 + size :], np.uint64) if hashed else None
+    hashes = np.frombuffer(raw[32 + size :], hash_type) if hashed else None
     return docs, (total - before).astype(np.int32), hashes, extra
 
 
