@@ -88,25 +88,35 @@ class Symbols:
         edge = np.bincount(base + lo, minlength=n + 1) - np.bincount(base + hi, minlength=n + 1)
         return np.cumsum(edge[:n]) > 0
 
-    def windows(self, spec: Windows, rows: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, position, hash) of the windows that hold an anchor at (rows, pos)."""
+    def windows(self, spec: Windows, rows: np.ndarray, pos: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, position, hash) of the windows that hold an anchor at (rows, pos) and whose hash is in range ``which`` of spec.rounds."""
         last = self.counts[rows] - spec.length + 1
         hi = np.minimum(pos.astype(np.int64) + 1, last)
         lo = np.minimum(np.maximum(0, pos.astype(np.int64) - (spec.length - spec.anchor)), hi)
         ok = hi > 0
         at = np.flatnonzero(self.marked(rows[ok], lo[ok], hi[ok]))
-        row = np.searchsorted(self.first, at, side="right") - 1
-        return row.astype(np.int32), (at - self.first[:-1][row]).astype(np.int32), self.roll(at, at + spec.length)
+        h = self.roll(at, at + spec.length)
+        if spec.rounds > 1:
+            own = (h >> np.uint64(20)) % np.uint64(spec.rounds) == which
+            at, h = at[own], h[own]
+        row = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)[at]
+        return row, (at - self.first[:-1][row]).astype(np.int32), h
 
 
 def repeated(docs: np.ndarray, pos: np.ndarray, hashes: np.ndarray, many: np.ndarray | None, later_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, entry is a repeat, entry is the first of its hash), in the order by hash and start.  many: entry stands for further starts."""
-    order = np.lexsort((pos, docs, hashes))
-    h, d, p = hashes[order], docs[order], pos[order]
+    """(order, entry is a repeat, entry is the first of its hash), in an order by hash, with the least start first where later_only.  many: entry stands for further starts."""
+    order = np.argsort(hashes)
+    h = hashes[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
     start = np.flatnonzero(new)
     size = np.diff(np.append(start, len(h)))
+    if later_only:
+        # only entries that share a hash need an order among themselves
+        shared = np.flatnonzero(np.repeat(size > 1, size))
+        own = order[shared]
+        order[shared] = own[np.lexsort((pos[own], docs[own], hashes[own]))]
+    d, p = docs[order], pos[order]
     first = np.repeat(start, size)
     other = (d != d[first]) | (p != p[first])
     if later_only:
@@ -248,10 +258,7 @@ def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[DataFrame
             rows, at = flagged_rows(docs_of, right["payload"].to_pylist())
             for a, e, data, off in row_chunks(left["text"]) if len(rows) else ():
                 lo, hi = np.searchsorted(rows, [a, e])
-                row, pos, h = Symbols(data, off, spec).windows(spec, rows[lo:hi] - a, at[lo:hi])
-                if spec.rounds > 1:
-                    own = (h >> np.uint64(20)) % np.uint64(spec.rounds) == which
-                    row, pos, h = row[own], pos[own], h[own]
+                row, pos, h = Symbols(data, off, spec).windows(spec, rows[lo:hi] - a, at[lo:hi], which)
                 d = docs_of[a:e][row]
                 made += out.add(block_of(d, blocks), d, pos, h)
             made += out.flush()
