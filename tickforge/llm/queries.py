@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import decontamination, jaccard_join, language_id, lm_scoring, packing, substring_dedup, suffix_dedup, toxicity, url_filter
+from tickforge.llm import decontamination, jaccard_join, language_id, lm_scoring, packing, substring_dedup, suffix_dedup, topk_search, toxicity, url_filter
 from tickforge.llm.scratch import ship
 
 
@@ -62,4 +62,9 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_url_filter, op4_substring_dedup, op5_toxicity, op6_benchmark_decontamination, op7_suffix_array_dedup, op8_packing, op9_ngram_jaccard_join)}
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return topk_search.search(spark, docs, docs.where("doc_id % 100 = 0"), k=10)
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_url_filter, op4_substring_dedup, op5_toxicity, op6_benchmark_decontamination, op7_suffix_array_dedup, op8_packing, op9_ngram_jaccard_join, op10_topk_search)}
