@@ -1,18 +1,20 @@
 """N-gram Jaccard join by vertical partitioning, and its components.
 
-A document's n-grams are a set of hashes.  One global order of n-grams (rare
-before frequent, else by hash) gives each document a prefix; two documents
-that link share an n-gram of both prefixes.  For the pairs found there, the
-global order of hashes is cut into FRAGMENTS ranges; each (group of pairs,
-fragment) counts its own part of the overlaps, and the parts are summed per
-pair.  Pairs that a first part already rules out are not counted further.
+A document's n-grams are a set of hashes.  One global order of n-grams gives
+each document a prefix; two documents that link share an n-gram of both
+prefixes.  Documents without a shared prefix n-gram drop out; of the others
+all n-grams are compared, and those with too few shared ones drop out too.
+For the pairs that the lists of prefix n-grams then give, the order of hashes
+is cut into fragments; partial overlaps are counted fragment by fragment and
+summed per pair, and pairs that can no longer reach the threshold are left.
 
 Links inside a group of near copies are far too many to list, and components
 don't need them.  So round one cuts each list into classes of like sizes and
 pairs each document only with the middle one of its class (first inside a map
-task, then among those middle ones).  Round two takes, of the lists again, all pairs whose
-documents are not yet in one component.  After it every pair that shares a
-prefix n-gram is counted or already connected: the components are exact.
+task, then among those middle ones).  Round two takes, of the lists again, all
+pairs whose documents are not yet in one component.  After it every pair that
+shares a prefix n-gram is counted or already connected: the components are
+exact.
 """
 
 from __future__ import annotations
@@ -27,13 +29,15 @@ from pyspark.sql import functions as F
 from tickforge.llm import repeats
 from tickforge.llm import scratch as S
 from tickforge.llm.components import components
-from tickforge.llm.textcore import LOWER_VALUES, SPACE, Rolling, Words, mix, row_chunks
+from tickforge.llm.textcore import LOWER_VALUES, SPACE, Rolling, Words, row_chunks
 
-#: Ranges that the order of n-grams is cut into for counting, and sixteenths of it that are counted first to rule pairs out.
-FRAGMENTS, SHARE = 4, 3
+#: The order of hashes is cut into 2**FRAGMENT_BITS fragments.
+FRAGMENT_BITS = 3
 #: The n-grams that stand last in the order are found in a sample of about so many documents: those in HOT of them or more.
 SAMPLE, HOT = 8000, 6
 BATCH = 1 << 20
+#: Marks labels among packed flags, which begin with a count.
+_LABELS = np.array([-1], np.int64).tobytes()
 _PAIRS = "kind int, bucket int, payload binary"
 
 
@@ -47,26 +51,32 @@ def ngram_sets(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, n
     keep = (at + n <= end) | (at == w.first[:-1][row])
     at, row = at[keep], row[keep]
     h = roll(at, np.minimum(at + n, end[keep]))
-    order = np.lexsort((h, row))
+    # by row and hash in one sort; where hashes differ in their last bits alone, by both
+    bits = max(1, int(len(off)).bit_length())
+    key = (row.astype(np.uint64) << np.uint64(64 - bits)) | (h >> np.uint64(bits))
+    order = np.argsort(key)
+    key = key[order]
+    if ((key[1:] == key[:-1]) & (h[order][1:] != h[order][:-1])).any():
+        order = np.lexsort((h, row))
     h, row = h[order], row[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
     return row[new], h[new]
 
 
-def prefixes(row: np.ndarray, h: np.ndarray, hot: np.ndarray, weight: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, hash, set size) of each set's prefix in the global order."""
+def prefixes(row: np.ndarray, h: np.ndarray, hot: np.ndarray, weight: np.ndarray, percent: int, alone: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, set size, place in all rows) of each set's prefix in the global order: n-grams that no other document has (alone) first, hot ones last, else by hash."""
     late = np.zeros(len(h), np.int64)
     if len(hot):
         i = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
         late = np.where(hot[i] == h, weight[i], 0)
-    order = np.lexsort((h, late, row))
+    if alone is not None:
+        late = np.where(alone, -1, late)
+    order = np.argsort((row << 32) + late, kind="stable")
     size = np.bincount(row)[row] if len(row) else row
-    first = np.searchsorted(row, row)
-    rank = np.arange(len(row)) - first  # row is sorted, and the same in the new order
-    need = size - (-(-percent * size // 100)) + 1
-    keep = rank < need
-    return row[keep], h[order][keep], size[keep]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)  # row is sorted, and the same in the new order
+    at = order[rank < size - (-(-percent * size // 100)) + 1]
+    return row[at], h[at], size[at], at
 
 
 def count_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -237,7 +247,7 @@ def _body(raw: bytes) -> int:
 
 
 def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, rest (a struct of the other columns), text, n_shingles and component_id per input row.
+    """doc_id, n_shingles and component_id per input row.
 
     Two documents link when 100 * intersection >= percent * union of their
     sets of lower-cased (A-Z) word n-grams; component_id is the smallest doc_id
@@ -247,57 +257,118 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     table gives an empty result.
     """
     texts, blocks = repeats.store(spark, docs)
-    total = texts.count()
-    hot, weight = frequent(texts, n, total)
+    hot, weight = frequent(texts, n, texts.count())
     width = S.partitions(spark)
 
-    def lists(batches):
-        out = Lists(width, width, True, percent)
+    def first_prefixes(batches):
+        out = repeats.Sender(width, blocks, False)
         for batch in batches:
             ids = S.ids(batch["doc_id"])
             for a, e, data, off in row_chunks(batch["text"]):
-                row, h, size = prefixes(*ngram_sets(data, off, n), hot, weight, percent)
-                known = ids[a:e][row] != S._MISSING
-                yield from out.add(h[known], ids[a:e][row[known]], size[known], np.zeros(known.sum(), np.int64))
+                row, h, _, at = prefixes(*ngram_sets(data, off, n), hot, weight, percent)
+                d = ids[a:e][row]
+                known = d != S._MISSING
+                yield from out.add(repeats.block_of(d[known], blocks), d[known], at[known].astype(np.int32), h[known])
         yield from out.flush()
 
-    sent = texts.select("doc_id", "text").mapInArrow(lists, _PAIRS)
-    pairs = gathered(spark, sent.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(width, True, percent), _PAIRS), width, blocks, "stars")
-    linked = overlaps(spark, texts, pairs, blocks, n, percent)
-    label = S.settle(spark, components(spark, linked), "label")
-
-    # Round two: the documents that were in any list of two, by their components so far.
-    seen = pairs.where("kind = 2").select(F.col("bucket").alias("block"), "payload")
-    labels = seen_labels(spark, seen, label, blocks)
-
-    def rest(left: pa.Table, right: pa.Table) -> pa.Table:
-        out, made = Lists(width, width, False, percent), []
-        if len(right) and len(left):
-            d, l = S.ids(right["doc_id"]), S.ids(right["component"])
-            order = np.argsort(d)
-            d, l = d[order], l[order]
-            ids = S.ids(left["doc_id"])
-            i = np.minimum(np.searchsorted(d, ids), len(d) - 1)
-            want = np.flatnonzero(d[i] == ids)
-            part, ids, own = left["text"].take(pa.array(want)), ids[want], l[i[want]]
-            for a, e, data, off in row_chunks(part):
-                row, h, size = prefixes(*ngram_sets(data, off, n), hot, weight, percent)
-                made += out.add(h, ids[a:e][row], size, own[a:e][row])
-            made += out.flush()
+    seen = S.settle(spark, repeats.sent(texts.select("doc_id", "text"), first_prefixes, width, blocks, False), "seen")
+    S.release(spark)
+
+    def whole_sets(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, made = repeats.Sender(width, blocks, False), []
+        for ids, data, off in flagged_texts(left, right):
+            row, h = ngram_sets(data, off, n)
+            d = ids[row]
+            made += out.add(repeats.block_of(d, blocks), d, (np.arange(len(row)) - np.searchsorted(row, row)).astype(np.int32), h)
+        made += out.flush()
         return pa.Table.from_batches(made or [repeats.as_batch([])])
 
-    again = texts.select("block", "doc_id", "text").groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(rest, _PAIRS)
-    more = gathered(spark, again.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(width, False, percent), _PAIRS), width, blocks, "across")
-    linked2 = overlaps(spark, texts, more, blocks, n, percent)
-    if not linked2.isEmpty():
-        joined = label.select(F.col("u").alias("a"), F.col("component").alias("b")).unionByName(linked2)
-        label = S.settle(spark, components(spark, joined), "label")
+    sends = texts.select("block", "doc_id", "text").groupBy("block").cogroup(seen.groupBy("block")).applyInArrow(whole_sets, _PAIRS)
+    shared = S.settle(spark, sends.repartitionById(width, F.col("bucket") % width).mapInArrow(repeats.settle_bucket(blocks, False), "block int, payload binary"), "shared")
     S.release(spark)
-    sizes = count_sets(texts, n)
-    out = sizes.distinct().join(label.withColumnRenamed("u", "doc_id"), "doc_id", "left")
+
+    def lists(stars: bool):
+        """Prefix n-grams of the documents that share enough of their set with any others to link at all; labels come with the flags in round two."""
+
+        def f(left: pa.Table, right: pa.Table) -> pa.Table:
+            out, made = Lists(width, width, stars, percent), []
+            payloads = right["payload"].to_pylist()
+            label_of = [p for p in payloads if p[:8] == _LABELS]
+            flags = [p for p in payloads if p[:8] != _LABELS]
+            known, labels = (np.concatenate(x) for x in zip(*(np.frombuffer(p, np.int64, -1, 8).reshape(2, -1) for p in label_of), strict=True)) if label_of else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            order = np.argsort(known)
+            known, labels = known[order], labels[order]
+            for ids, data, off, rows, pos in flagged_texts(left, pa.table({"payload": pa.array(flags, pa.binary())}), True):
+                row, h = ngram_sets(data, off, n)
+                size = np.bincount(row, minlength=len(ids))
+                first = np.append(0, np.cumsum(size))
+                alone = np.ones(len(row), bool)
+                alone[first[rows] + pos] = False
+                met = np.bincount(row[~alone], minlength=len(ids))
+                able = (100 * met >= percent * size)[row]
+                r, x, s, at = prefixes(row, h, hot, weight, percent, alone)
+                use = able[at] & ~alone[at]
+                r, x, s = r[use], x[use], s[use]
+                d = ids[r]
+                if stars:
+                    own = np.zeros(len(d), np.int64)
+                else:
+                    i = np.minimum(np.searchsorted(known, d), max(0, len(known) - 1))
+                    own = np.where(known[i] == d, labels[i], d) if len(known) else d
+                made += out.add(x, d, s, own)
+            made += out.flush()
+            return pa.Table.from_batches(made or [repeats.as_batch([])])
+
+        return f
+
+    def linked(flags: DataFrame, stars: bool, name: str) -> DataFrame:
+        sent = texts.select("block", "doc_id", "text").groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(lists(stars), _PAIRS)
+        pairs = gathered(spark, sent.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(width, stars, percent), _PAIRS), width, blocks, name)
+        return overlaps(spark, texts, pairs, n, percent)
+
+    # Round one, then round two with the components so far.
+    label = S.settle(spark, components(spark, linked(shared, True, "stars")), "label")
+    more = linked(shared.unionByName(packed_labels(label, blocks)), False, "across")
+    if not more.isEmpty():
+        label = S.settle(spark, components(spark, label.select(F.col("u").alias("a"), F.col("component").alias("b")).unionByName(more)), "label")
+    S.release(spark)
+    out = count_sets(texts, n).join(label.withColumnRenamed("u", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def flagged_texts(left: pa.Table, right: pa.Table, with_flags: bool = False) -> Iterator[tuple]:
+    """(ids, bytes, offsets) of runs of those documents of a block that have flags, each document once; with (row, position) of the flags."""
+    if not len(left) or not len(right):
+        return
+    ids = S.ids(left["doc_id"])
+    once = np.zeros(len(ids), bool)
+    once[np.unique(ids, return_index=True)[1]] = True
+    which, pos = repeats.flagged_rows(ids, right["payload"].to_pylist())
+    keep = once[which]
+    which, pos = which[keep], pos[keep].astype(np.int64)
+    order = np.argsort(which, kind="stable")
+    which, pos = which[order], pos[order]
+    want = np.unique(which)
+    back = np.searchsorted(want, which)
+    ids = ids[want]
+    for a, e, data, off in row_chunks(left["text"].take(pa.array(want))):
+        lo, hi = np.searchsorted(back, [a, e])
+        yield (ids[a:e], data, off, back[lo:hi] - a, pos[lo:hi]) if with_flags else (ids[a:e], data, off)
+
+
+def packed_labels(label: DataFrame, blocks: int) -> DataFrame:
+    """(block, payload) of labels: the mark, then documents and components."""
+    slot = S.slots(blocks)
+
+    def f(batches):
+        for b in batches:
+            d, c = S.ids(b["u"]), S.ids(b["component"])
+            rows = [(int(slot[k]), _LABELS + d[i].tobytes() + c[i].tobytes()) for k, i in S.split_by(repeats.block_of(d, blocks), blocks)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "payload"])
+
+    return label.select("u", "component").mapInArrow(f, "block int, payload binary")
+
+
 def gathered(spark: SparkSession, found: DataFrame, width: int, blocks: int, name: str) -> DataFrame:
     """Distinct pairs by group (kind 1), and by block the (document, group) that they ask for (kind 2)."""
 
@@ -388,66 +459,30 @@ def of_first(docs: np.ndarray, values: np.ndarray, which: np.ndarray) -> np.ndar
     return np.where(there & (at < len(docs)), np.append(values, 0)[at], 0)
 
 
-def possible(spark: SparkSession, texts: DataFrame, pairs: DataFrame, blocks: int, n: int, percent: int) -> DataFrame:
-    """The pairs that may still link, once the overlap in the first SHARE sixteenths of the order is known (by 32 bits of the hashes, so never too low)."""
-    width = S.partitions(spark)
-    groups = max(1, width // FRAGMENTS)
-
-    def first_part(g, ids, size, w, h):
-        m = (h >> np.uint64(60)) < SHARE
-        # one entry more for each set, so that its size arrives in any case
-        d, s = np.append(ids, ids[w[m]]), np.append(size, size[w[m]]).astype(np.int32)
-        x = np.append(mix(ids.view(np.uint64)), h[m])
-        order = np.argsort(d, kind="stable")
-        yield g, S.pack(d[order], s[order], ((x >> np.uint64(28)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)[order])
-
-    def kept(t: pa.Table) -> pa.Table:
-        a, b, docs, size, h = sets_and_pairs(t, np.uint32)
-        if len(a):
-            o = common(a, b, docs, h)
-            part_a = np.searchsorted(docs, a, side="right") - np.searchsorted(docs, a) - 1
-            part_b = np.searchsorted(docs, b, side="right") - np.searchsorted(docs, b) - 1
-            na, nb = of_first(docs, size, a), of_first(docs, size, b)
-            most = o + np.minimum(na - part_a, nb - part_b)
-            ok = 100 * most >= percent * (na + nb - most)
-            a, b = a[ok], b[ok]
-        return pa.Table.from_batches([repeats.as_batch(packed_pairs(a, b, groups))])
+def overlaps(spark: SparkSession, texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: the overlaps of each fragment are counted apart and summed per pair; a pair that can no longer reach the threshold is not counted further."""
 
-    parts = segments(texts, pairs, n, first_part)
-    found = parts.unionByName(pairs.where("kind = 1")).groupBy("bucket").applyInArrow(kept, _PAIRS)
-    return gathered(spark, found, width, blocks, "possible")
-
-
-def overlaps(spark: SparkSession, texts: DataFrame, pairs: DataFrame, blocks: int, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: partial overlaps by fragment, summed per pair."""
-    pairs = possible(spark, texts, pairs, blocks, n, percent)
-
-    def by_fragment(g, ids, size, w, h):
-        fragment = (h >> np.uint64(62)).astype(np.int64)
-        for f in range(FRAGMENTS):
-            m = fragment == f
-            yield g * FRAGMENTS + f, S.pack(ids[w[m]], size[w[m]].astype(np.int32), h[m])
+    def whole(g, ids, size, w, h):
+        yield g, S.pack(ids[w], size[w].astype(np.int32), h)
 
     def counted(t: pa.Table) -> pa.Table:
         a, b, docs, size, h = sets_and_pairs(t, np.uint64)
-        return pa.table({"a": a, "b": b, "na": of_first(docs, size, a), "nb": of_first(docs, size, b), "o": common(a, b, docs, h)})
+        na, nb = of_first(docs, size, a), of_first(docs, size, b)
+        o = np.zeros(len(a), np.int64)
+        left_a, left_b = na.copy(), nb.copy()
+        fragment = (h >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64)
+        for f in range(1 << FRAGMENT_BITS) if len(a) else ():
+            m = fragment == f
+            own = docs[m]
+            o += common(a, b, own, h[m])
+            left_a -= np.searchsorted(own, a, side="right") - np.searchsorted(own, a)
+            left_b -= np.searchsorted(own, b, side="right") - np.searchsorted(own, b)
+            most = o + np.minimum(left_a, left_b)
+            ok = 100 * most >= percent * (na + nb - most)
+            a, b, na, nb, o, left_a, left_b = (x[ok] for x in (a, b, na, nb, o, left_a, left_b))
+        return pa.table({"a": a, "b": b})
 
-    asked = pairs.where("kind = 1").select("kind", F.explode(F.sequence(F.col("bucket") * FRAGMENTS, F.col("bucket") * FRAGMENTS + FRAGMENTS - 1)).alias("bucket"), "payload")
-    each = segments(texts, pairs, n, by_fragment).unionByName(asked).groupBy("bucket").applyInArrow(counted, "a long, b long, na long, nb long, o long")
-    summed = each.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("o").alias("o"))
-    out = S.settle(spark, summed.where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b"), "linked")
+    parts = segments(texts, pairs, n, whole)
+    out = S.settle(spark, parts.unionByName(pairs.where("kind = 1")).groupBy("bucket").applyInArrow(counted, "a long, b long"), "linked")
     S.release(spark)
     return out
-
-
-def seen_labels(spark: SparkSession, seen: DataFrame, label: DataFrame, blocks: int) -> DataFrame:
-    """(block, doc_id, component) of the documents in seen."""
-
-    def f(batches):
-        for b in batches:
-            for block, raw in zip(b["block"].to_pylist(), b["payload"].to_pylist(), strict=True):
-                d = np.unique(S.unpack(raw)[0])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(d), block, np.int32)), pa.array(d)], names=["block", "doc_id"])
-
-    docs = seen.mapInArrow(f, "block int, doc_id long").distinct()
-    return docs.join(label.withColumnRenamed("u", "doc_id"), "doc_id", "left").select("block", "doc_id", F.coalesce("component", "doc_id").alias("component"))
