@@ -26,7 +26,7 @@ from tickforge.llm import scratch as S
 from tickforge.llm.language_id import held_out
 from tickforge.llm.textcore import U64
 
-SPAN, DECAY, DEGREE = 5, 0.7, 4
+SPAN, DECAY, DEGREE = 6, 0.9, 4
 #: Kernel values below this count as none.
 FLOOR = 0.35
 BITS = 18
@@ -71,37 +71,38 @@ class Kernel:
     table: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        r, x, w = subsequences(self.landmarks)
+        r, x, w = best_of_each(*subsequences(self.landmarks), 1 << BITS)
         used, at = np.unique(x, return_inverse=True)
         self.slot = np.zeros(1 << BITS, np.int32)
         self.slot[used] = np.arange(1, len(used) + 1)
         table = np.zeros((len(used) + 1, len(self.landmarks)), np.float32)
-        np.add.at(table, (at + 1, r), w)
+        table[at + 1, r] = w
         self.table = table / np.maximum(1e-9, (table * table).sum(0))
 
     def __call__(self, strings: list[str]) -> np.ndarray:
         out = np.zeros((len(strings), len(self.landmarks)), np.float32)
         for lo in range(0, len(strings), 8192):
-            part = strings[lo : lo + 8192]
-            r, x, w = subsequences(part)
+            r, x, w = subsequences(strings[lo : lo + 8192])
             at = self.slot[x]
             on = at > 0
-            r, at, w = r[on], at[on], w[on]
-            if not len(r):
-                continue
-            # each of a landmark's subsequences counts once, at its best
-            key = r.astype(np.int64) * len(self.table) + at
-            order = np.lexsort((-w, key))
-            key = key[order]
-            first = np.ones(len(key), bool)
-            first[1:] = key[1:] != key[:-1]
-            order = order[first]
-            r, at, w = r[order], at[order], w[order]
-            starts = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-            out[lo + r[starts]] = np.add.reduceat(self.table[at] * w[:, None], starts, axis=0)
+            r, at, w = best_of_each(r[on], at[on], w[on], len(self.table))
+            if len(r):
+                starts = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+                out[lo + r[starts]] = np.add.reduceat(self.table[at] * w[:, None], starts, axis=0)
         return np.minimum(out, 1)
 
 
+def best_of_each(r: np.ndarray, x: np.ndarray, w: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One entry for each string and subsequence (0 to n - 1), the one of the largest weight, by string."""
+    key = r.astype(np.int64) * n + x
+    order = np.lexsort((-w, key))
+    key = key[order]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    order = order[first]
+    return r[order], x[order], w[order]
+
+
 @dataclass
 class Model:
     landmarks: list[str]
@@ -170,6 +171,7 @@ def choose_landmarks(docs: list[set[str]], y: np.ndarray, most: int) -> list[str
             for w in d & strong:
                 by_word[w].add(k)
     cover = {s: set().union(*(by_word[w] for w in ws)) for s, ws in inside.items()}
+    cover = {s: k for s, k in cover.items() if len(k) >= max(3, n_bad // 100)} or cover
     other = "\n".join(good)
     share = n_bad / n_good
     chosen: list[str] = []
@@ -183,16 +185,17 @@ def choose_landmarks(docs: list[set[str]], y: np.ndarray, most: int) -> list[str
         return clean[s]
 
     while ranked and len(chosen) < most:
-        gains = [(len(cover[s] & left), len(s), s) for s in ranked]
-        gains = [g for g in gains if g[0]]
+        gains = [g for s in ranked if (g := (len(cover[s] & left), len(s), s))[0] >= max(2, n_bad // 200)]
         if not gains:
-            if left == {k for k in range(len(docs)) if y[k]} or len(chosen) >= most // 2:
+            # strings that many toxic documents have beside those chosen, if they are not like them
+            new = [s for s in ranked if len(cover[s]) >= max(3, n_bad // 25) and (len(s) > 5 or s in strong)]
+            near = Kernel(chosen)(new).max(1) if new and chosen else np.zeros(len(new))
+            gains = [(len(cover[s]), len(s), s) for s, k in zip(new, near, strict=True) if k < 0.4]
+            if not gains:
                 break
-            left = {k for k in range(len(docs)) if y[k]}  # a second string for each document
-            continue
-        gain, _, s = max(gains)
-        ranked = [r for r in ranked if r != s and not (r in s or s in r)] if clean_count(s) * share <= 0.2 * len(cover[s]) else [r for r in ranked if r != s]
-        if clean_count(s) * share <= 0.2 * len(cover[s]):
+        s = max(gains)[2]
+        ranked = [r for r in ranked if r != s and not (r in s or s in r)] if clean_count(s) * share <= 0.02 * len(cover[s]) else [r for r in ranked if r != s]
+        if clean_count(s) * share <= 0.02 * len(cover[s]):
             chosen.append(s)
             left -= cover[s]
     return chosen or ["\0"]
@@ -222,12 +225,32 @@ def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(max(1e-3, b[0])), float(b[1])
 
 
+def varied(docs: list[set[str]], marks: list[str], seed: int = 0) -> list[set[str]]:
+    """For each toxic document, two with a single one of its words like a landmark: as it is, and with a character put in."""
+    rng, kernel = np.random.default_rng(seed), Kernel(marks)
+    every = sorted(set().union(*docs))
+    alike = {w for w, k in zip(every, kernel(every).max(1, initial=0), strict=True) if k >= 0.75}
+    out = []
+    for d in docs:
+        if hit := sorted(d & alike):
+            w = hit[rng.integers(len(hit))]
+            at = int(rng.integers(1, max(2, len(w))))
+            rest = d - alike
+            out += [rest | {w}, rest | {w[:at] + "-.*_x1"[rng.integers(6)] + w[at:]}]
+    return out
+
+
 def train(docs: list[set[str]], y: np.ndarray, prior: float, landmarks: int = 64) -> Model:
     """prior: share of toxic rows among all that were labelled."""
     if len(set(y.tolist())) < 2:
         return Model(["\0"], np.zeros((1, 1)), np.zeros(1), 0.0, 1.0, 500.0 if len(y) and y[0] else -500.0)
     held = np.arange(len(y)) % 4 == 0 if len(y) >= 80 else np.zeros(len(y), bool)
     marks = choose_landmarks([d for d, h in zip(docs, held, strict=True) if not h], y[~held], landmarks)
+    n = len(docs)
+    for kept_back in (False, True):
+        more = varied([d for d, h, t in zip(docs, held, y, strict=True) if h == kept_back and t], marks) if kept_back in held[: len(docs)] else []
+        docs, y, held = docs + more, np.append(y, np.ones(len(more), int)), np.append(held, np.full(len(more), kept_back))
+    made = np.arange(len(docs)) >= n
     gram = Kernel(marks)(marks)
     gram = ((gram + gram.T) / 2) ** DEGREE
     value, vector = np.linalg.eigh(gram)
@@ -235,7 +258,8 @@ def train(docs: list[set[str]], y: np.ndarray, prior: float, landmarks: int = 64
     x = Features(marks)(docs) @ whiten
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     w, b = hinge(x[~held], y[~held], weight[~held])
-    rate = np.where(y == 1, prior / max(1, y.sum()), (1 - prior) / max(1, (1 - y).sum())) * len(y)
+    # documents as they come; the varied ones weigh a tenth
+    rate = np.where(made, 0.1, 1) * np.where(y == 1, prior / max(1, y[:n].sum()), (1 - prior) / max(1, (1 - y).sum())) * n
     fit = held if held.any() and len(set(y[held].tolist())) == 2 else ~held
     slope, shift = platt(x[fit] @ w + b, y[fit], rate[fit])
     return Model(marks, whiten, w, b, slope, shift)
