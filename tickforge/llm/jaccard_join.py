@@ -36,6 +36,8 @@ FRAGMENT_BITS = 3
 #: The n-grams that stand last in the order are found in a sample of about so many documents: those in HOT of them or more.
 SAMPLE, HOT = 8000, 6
 BATCH = 1 << 20
+#: Pairs that a task holds at once in round two.
+PAIRS = 1 << 17
 #: Marks labels among packed flags, which begin with a count.
 _LABELS = np.array([-1], np.int64).tobytes()
 _PAIRS = "kind int, bucket int, payload binary"
@@ -208,9 +210,9 @@ def across(h: np.ndarray, docs: np.ndarray, size: np.ndarray, label: np.ndarray,
             if len(other):
                 held.append((np.minimum(d[other], d[k]), np.maximum(d[other], d[k])))
                 count += len(other)
-        if count > BATCH:
-            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
-            held, count = [], 0
+            if count > PAIRS:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                held, count = [], 0
     if held:
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
