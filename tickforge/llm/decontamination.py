@@ -92,13 +92,19 @@ def exact_matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     known = settle(spark, known, "items")
     found = candidates(docs, known, broadcast).join(_side(known.select("item", "item_id", "words", "n"), broadcast), "item")
     found = found.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "at", "words", "n")).alias("found")).withColumnRenamed("doc_id", "found_in")
-    both = docs.withColumn("tokens", tokens(F.col("text"))).join(found, F.col("doc_id").eqNullSafe(F.col("found_in")), "left")
-    starts = F.expr(
-        "flatten(transform(coalesce(found, array()), c -> transform("
-        "filter(sequence(0, size(c.words) - c.n), k -> c.at + k >= 0 and c.at + k + c.n <= size(tokens) and slice(tokens, c.at + k + 1, c.n) = slice(c.words, k + 1, c.n)),"
-        " k -> struct(c.item_id as item_id, c.at + k as start, c.n as n))))"
-    )
-    both = both.select("doc_id", "rest", "text", F.size("tokens").alias("n_words"), starts.alias("hits"))
+    both = docs.join(found, F.col("doc_id").eqNullSafe(F.col("found_in")), "left")
+
+    def compared(t: Column) -> Column:
+        """Words and hits of a document with tokens t; a lambda, so that the tokens are made once, and after the join."""
+
+        def of(c: Column) -> Column:
+            fits = F.filter(F.sequence(F.lit(0), F.size(c["words"]) - c["n"]), lambda k: (c["at"] + k >= 0) & (c["at"] + k + c["n"] <= F.size(t)) & (F.slice(t, c["at"] + k + 1, c["n"]) == F.slice(c["words"], k + 1, c["n"])))
+            return F.transform(fits, lambda k: F.struct(c["item_id"].alias("item_id"), (c["at"] + k).alias("start"), c["n"].alias("n")))
+
+        return F.struct(F.size(t).alias("n_words"), F.flatten(F.transform(F.coalesce(F.col("found"), F.array()), of)).alias("hits"))
+
+    both = both.select("doc_id", "rest", "text", F.element_at(F.transform(F.array(tokens(F.col("text"))), compared), 1).alias("c"))
+    both = both.select("doc_id", "rest", "text", "c.n_words", "c.hits")
     covered = F.expr("size(array_distinct(flatten(transform(hits, h -> sequence(h.start, h.start + h.n - 1)))))")
     return both.select("doc_id", "rest", "text", F.col("n_words").cast("long").alias("n_words"), F.when(F.size("hits") > 0, covered).otherwise(0).cast("long").alias("n_hit"), F.expr("array_distinct(transform(hits, h -> h.item_id))").alias("item_ids"))
 
