@@ -14,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm import scratch as S
@@ -182,8 +182,12 @@ def search(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = 10
         own = [(x["q"], np.frombuffer(x["terms"], U64)) for x in wanted.where(F.pmod(F.xxhash64("q"), F.lit(rounds)) == r).toLocalIterator() if len(x["terms"])]
         part = S.settle(spark, one_round(index, own, n, mean, k), f"round{r}")
         found = part if found is None else found.unionByName(part)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    return found.select("query_id", F.posexplode("best").alias("pos", "b")).select("query_id", (F.col("pos") + 1).alias("rank"), F.col("b.doc_id").alias("doc_id"), (-F.col("b.minus")).alias("score"))
+
+
+def merged(rows: DataFrame, k: int, *keys: str) -> DataFrame:
+    """The k best of all lists of a key."""
+    return rows.groupBy(*keys).agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
 
 
 def one_round(index: DataFrame, queries: list[tuple[int, np.ndarray]], n: int, mean: float, k: int) -> DataFrame:
@@ -216,18 +220,22 @@ def one_round(index: DataFrame, queries: list[tuple[int, np.ndarray]], n: int, m
     asked = spark.sparkContext.broadcast([(q, t, idf[np.searchsorted(vocabulary, t)]) for q, t in queries])
 
     def best(batches):
+        from pyspark import TaskContext
+
         for b in batches:
             for t, c, p in zip(b["terms"].to_pylist(), b["counts"].to_pylist(), b["postings"].to_pylist(), strict=True):
                 shard = Shard(t, c, p, mean)
                 if not len(shard.terms):
                     continue
-                q, d, s = [], [], []
-                for query, terms, weights in asked.value:
-                    docs, scores = shard.search(terms, weights, k)
-                    q.append(np.full(len(docs), query))
-                    d.append(docs)
-                    s.append(scores)
-                if q:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q), pa.int64()), pa.array(np.concatenate(d), pa.int64()), pa.array(np.concatenate(s), pa.float64())], names=["query_id", "doc_id", "score"])
-
-    return index.select("terms", "counts", "postings").repartition(max(1, S.partitions(spark))).mapInArrow(best, "query_id long, doc_id long, score double")
+                found = [(q, *shard.search(terms, weights, k)) for q, terms, weights in asked.value]
+                found = [f for f in found if len(f[1])]
+                if found:
+                    cuts = np.cumsum([0, *(len(f[1]) for f in found)])
+                    inner = pa.StructArray.from_arrays([pa.array(-np.concatenate([f[2] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["minus", "doc_id"])
+                    own = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), inner)
+                    part = TaskContext.get().partitionId() % 64
+                    yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([part] * len(found), pa.int32()), own], names=["query_id", "part", "best"])
+
+    # shards' lists meet in two steps, so that no key gathers those of all shards
+    lists = index.select("terms", "counts", "postings").repartition(max(1, S.partitions(spark))).mapInArrow(best, "query_id long, part int, best array<struct<minus:double,doc_id:bigint>>")
+    return merged(merged(lists, k, "query_id", "part"), k, "query_id")
