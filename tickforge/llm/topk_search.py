@@ -21,7 +21,7 @@ from tickforge.llm import scratch as S
 from tickforge.llm.textcore import LOWER_VALUES, SPACE, U64, Words, row_chunks
 
 K1, B = 1.2, 0.75
-BLOCK = 64
+BLOCK = 128
 #: Documents of one shard, at most, and distinct terms of one round of queries, about.
 SHARD, ROUND_TERMS = 8192, 2_000_000
 _SHARD_SCHEMA = "docs long, words long, terms binary, counts binary, postings binary"
@@ -127,7 +127,7 @@ class Shard:
         bound = np.bincount(block, weights=w * self.most[entry], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        docs, scores, floor, at, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, max(2, -(-2 * k // BLOCK))
+        docs, scores, floor, at, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, max(4, -(-4 * k // BLOCK))
         while at < len(order) and bound[order[at]] >= floor - 1e-6:
             now = order[at : at + step]
             now = now[bound[now] >= floor - 1e-6]
