@@ -16,11 +16,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SHIPPED = "tickforge.llm.shipped"
+#: Rows of one Arrow batch: packed rows and long texts are large, and a batch is held whole on both sides.
+ARROW_ROWS = 1000
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package once per application."""
+    """Give the executors this package once per application, and keep Arrow batches small."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_tickforge_shipped", False):
         return
