@@ -63,6 +63,45 @@ def test_lm_against_counts(spark, make):
     assert lm_scoring.score(spark, make([])).count() == 0
 
 
+def test_lm_counts_of_many_words_do_not_mix(spark, make):
+    """Words that were seen five times cost little more than their share, however many there are."""
+    r = random.Random(8)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(100_000)]
+    texts = [" ".join(words[k : k + 400]) for _ in range(6) for k in range(0, len(words), 400)]
+    held = lm_scoring.score(spark, make(texts)).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
+    assert held[0] / held[1] > -8  # the share alone: -5
+
+
+def test_lm_path_counts(spark):
+    """Against counts by brute force, over chunks that share contexts."""
+    r = random.Random(4)
+    words = sorted({"".join(r.choices("abé", k=r.randint(1, 8))).encode() for _ in range(200)})
+    cuts = np.cumsum([0, *map(len, words)])
+    v = lm_scoring.Vocabulary(np.arange(len(words), dtype=np.uint64), np.array([r.randint(0, 9) for _ in words]), cuts, np.frombuffer(b"".join(words), np.uint8))
+    chunks = [v.take(np.arange(k, len(words), 3)) for k in range(3)]
+    rows = spark.createDataFrame([(k, bytearray(c.pack())) for k, c in enumerate(chunks)], "chunk long, payload binary")
+    want = Counter()
+    for w, n in zip(words, v.counts.tolist(), strict=True):
+        w += b" "
+        for i in range(len(w)):
+            for k in lm_scoring.ORDERS:
+                for j in range(9):
+                    want[k, w[max(0, i - k) if k else 0 : i], j, w[i] >> (8 - j)] += n
+    got = lm_scoring.with_paths(rows, 5).collect()
+    assert len(got) == 3
+    for g in got:
+        part = lm_scoring.Vocabulary.unpack(bytes(g.payload))
+        coded = lm_scoring.Coded(part)
+        seen = lm_scoring.Paths(coded, lm_scoring._unpack_paths(bytes(g.paths)), 5)
+        places = [(w + b" ", i) for w in (words[h] for h in part.hashes.astype(int)) for i in range(len(w) + 1)]
+        for j in range(8):
+            node, taken = seen(j)
+            for o, k in enumerate(lm_scoring.ORDERS):
+                context = [(k, w[max(0, i - k) if k else 0 : i]) for w, i in places]
+                assert node[o].tolist() == [want[*c, j, w[i] >> (8 - j)] for c, (w, i) in zip(context, places, strict=True)]
+                assert taken[o].tolist() == [want[*c, j + 1, w[i] >> (7 - j)] for c, (w, i) in zip(context, places, strict=True)]
+
+
 def test_lm_is_a_distribution():
     """Probabilities of all next bytes sum to 1, so do those of all words."""
     words = [b"ab", b"abc", b"b", b"abd"]
