@@ -102,6 +102,16 @@ def test_lm_path_counts(spark):
                 assert taken[o].tolist() == [want[*c, j + 1, w[i] >> (7 - j)] for c, (w, i) in zip(context, places, strict=True)]
 
 
+def test_lm_mixer_learns_from_all_occurrences(spark):
+    words = [b"the", b"of", b"rare", b"new"]
+    v = lm_scoring.Vocabulary(np.arange(4, dtype=np.uint64), np.array([900_000, 50_000, 1, 0]), np.cumsum([0, *map(len, words)]), np.frombuffer(b"".join(words), np.uint8))
+    rows = spark.createDataFrame([(k, bytearray(v.take(np.array([k])).pack())) for k in range(4)], "chunk long, payload binary")
+    sums = lm_scoring.train(lm_scoring.with_paths(rows, 3), 3)
+    decisions = 8 * (900_000 * 4 + 50_000 * 3 + 5)
+    assert sums[-256 * 33 :].sum() == pytest.approx(decisions)
+    assert np.isfinite(lm_scoring.Mixer.model(sums).weights).all()
+
+
 def test_lm_is_a_distribution():
     """Probabilities of all next bytes sum to 1, so do those of all words."""
     words = [b"ab", b"abc", b"b", b"abd"]
