@@ -35,6 +35,15 @@ def test_language_cases(spark, make):
     assert len(same) == 3 and not [r for r in same if r.doc_id is None][0].held_out
 
 
+def test_all_languages_are_learnt(spark, make):
+    """More than 64, the last ones as rare as the rest."""
+    r = random.Random(2)
+    langs = [f"l{k:03}" for k in range(90)]
+    rows = [(k, "".join(r.choices([chr(0x4E00 + 20 * (k % 90) + x) for x in range(20)], k=40)), langs[k % 90], None, None, None, None, None) for k in range(900)]
+    out = language_id.identify(spark, make([], rows)).select("rest.lang", "held_out", "lang_pred").toPandas()
+    assert set(out.lang_pred) == set(langs) and (out.lang == out.lang_pred).all()
+
+
 def test_temperature_softens_overconfident_logits():
     r = np.random.default_rng(0)
     y = r.integers(0, 2, 500)

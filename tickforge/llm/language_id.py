@@ -116,12 +116,13 @@ def temperature(logits: np.ndarray, y: np.ndarray, smooth: float = 0.01) -> floa
     return float(grid[int(np.argmin(loss))])
 
 
-def train(spark: SparkSession, rows: DataFrame, per_language: int = 500, max_languages: int = 64) -> Model:
-    """rows (doc_id, text, lang).  Document frequencies are over all rows; the weights are fitted on about per_language rows of each of the max_languages most frequent languages (whole texts, chosen by a hash of doc_id)."""
+def train(spark: SparkSession, rows: DataFrame, per_language: int = 500) -> Model:
+    """rows (doc_id, text, lang).  Document frequencies are over all rows; the weights are fitted on about per_language rows of each language (whole texts, chosen by a hash of doc_id)."""
     S.ship(spark)
     rows = rows.where("text is not null and lang is not null")
-    by_lang = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    by_lang = rows.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in by_lang)
+    number = {lang: k for k, lang in enumerate(languages)}
     if not languages:
         return Model([], np.ones(1 << BITS, np.float32), np.zeros((1 << BITS, 0), np.float32), 1.0)
     total = sum(r["count"] for r in by_lang)
@@ -151,7 +152,7 @@ def train(spark: SparkSession, rows: DataFrame, per_language: int = 500, max_lan
     for r in sample.select("lang", "text").mapInArrow(features, "lang string, i binary, c binary").orderBy("lang", "i", "c").toLocalIterator():
         i, c = np.frombuffer(r["i"], np.int16).astype(np.int64), np.frombuffer(r["c"], np.uint16)
         v = (1 + np.log(c)) * idf[i]
-        data.append((i, v / max(1e-9, np.sqrt((v * v).sum())), languages.index(r["lang"])))
+        data.append((i, v / max(1e-9, np.sqrt((v * v).sum())), number[r["lang"]]))
     held = data[::5] if len(data) > 50 else []
     weights = ftrl([d for k, d in enumerate(data) if not held or k % 5], 1 << BITS, len(languages))
     logits = np.array([v @ weights[i] for i, v, _ in held]).reshape(len(held), len(languages))
