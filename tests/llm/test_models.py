@@ -191,6 +191,21 @@ def test_toxicity(spark, make):
     assert toxicity.score(spark, make([]), labels).count() == 0
 
 
+def test_toxicity_of_many_gaps(spark, make):
+    texts, y = toxic_corpus()
+    gapped = ["you i.d.i.o.t of the", "er m-o-r-o-n", "the c*l_o.w-n.i.s.h on", "an id iot wh", "er m  o\to\nr m o r\to\n n", "the ixdxixoxt on", "i-d-i-ot", "cl_ow.nish the"]
+    clean = ["the on er an ha", "th-er.ing re_wh", "a b c d e f"]
+    labels = spark.createDataFrame([*enumerate(y)], "doc_id long, toxic int")
+    out = toxicity.score(spark, make(texts + gapped + clean), labels).orderBy("doc_id").collect()
+    assert [g.predicted for g in out[len(y) :]] == [1] * len(gapped) + [0] * len(clean)
+
+
+def test_toxic_words_of_few_documents_are_landmarks():
+    docs = [{"the", f"a{k}"} for k in range(1000)] + [{"the", "moronic"} for _ in range(990)] + [{"the", "clownish"} for _ in range(6)]
+    marks = toxicity.choose_landmarks(docs, np.array([0] * 1000 + [1] * 996), 64)
+    assert any(m in "clownish" for m in marks)
+
+
 def test_kernel_counts_gapped_subsequences():
     k = toxicity.Kernel(["idiot"])
     same, gap, other = k(["idiot", "idxiot", "thering"])[:, 0]

@@ -2,8 +2,9 @@
 
 Kernel: two strings are alike by the subsequences of three characters they
 share, gaps allowed, each weighted by DECAY per character that it spans (at
-most SPAN).  Inserted characters (``id-iot``) lower the value but do not
-remove it.  Landmarks are strings typical of toxic labelled documents.  A
+most SPAN).  An inserted character (``id-iot``) lowers the value but does not
+remove it; words with more of them are seen a second time without separators
+and short neighbours also as one word.  Landmarks are strings typical of toxic labelled documents.  A
 document's value for a landmark is the largest kernel value among its words,
 taken to the power DEGREE; values for all landmarks are whitened by the
 landmarks' own kernel matrix (Nyström), and a linear machine on top is trained
@@ -33,15 +34,33 @@ BITS = 18
 #: Distinct words that a worker remembers.
 CACHE = 600_000
 _GAPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
-_SPACED = re.compile(r"(?<!\S)(?:\S ){3,}\S(?!\S)")
+_SEPARATORS = re.compile(r"[\W_]+")
+#: Longest word that is joined with its neighbours.
+_SHORT = 3
+
+
+def bare(word: str) -> str:
+    """A word without separators, nor a letter that comes after each of the others."""
+    if not word.isalnum():
+        word = _SEPARATORS.sub("", word)
+    return word[::2] if len(word) > 6 and len(set(word[1::2])) == 1 else word
 
 
 def words(text: str | None) -> set[str]:
-    """Distinct lower-cased words of a whole text; letters set apart by spaces are one word."""
-    low = (text or "").lower()
-    if spaced := _SPACED.findall(low):
-        return {*low.split(), *(x.replace(" ", "") for x in spaced)}
-    return set(low.split())
+    """Distinct lower-cased words of a whole text, also without separators; runs of short words, however set apart, are also one word."""
+    out: set[str] = set()
+    run: list[str] = []
+    for w in [*(text or "").lower().split(), " " * (_SHORT + 1)]:
+        b = bare(w) if w[0] != " " else w
+        if len(b) <= _SHORT:
+            run.append(b)
+        else:
+            if len(run) > 1:
+                out.add("".join(run))
+            run.clear()
+            out.add(b)
+        out.add(w)
+    return out - {"", " " * (_SHORT + 1)}
 
 
 def subsequences(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,7 +190,7 @@ def choose_landmarks(docs: list[set[str]], y: np.ndarray, most: int) -> list[str
             for w in d & strong:
                 by_word[w].add(k)
     cover = {s: set().union(*(by_word[w] for w in ws)) for s, ws in inside.items()}
-    cover = {s: k for s, k in cover.items() if len(k) >= max(3, n_bad // 100)} or cover
+    cover = {s: k for s, k in cover.items() if len(k) >= 3} or cover
     other = "\n".join(good)
     share = n_bad / n_good
     chosen: list[str] = []
@@ -185,7 +204,7 @@ def choose_landmarks(docs: list[set[str]], y: np.ndarray, most: int) -> list[str
         return clean[s]
 
     while ranked and len(chosen) < most:
-        gains = [g for s in ranked if (g := (len(cover[s] & left), len(s), s))[0] >= max(2, n_bad // 200)]
+        gains = [g for s in ranked if (g := (len(cover[s] & left), len(s), s))[0] >= 2]
         if not gains:
             # strings that many toxic documents have beside those chosen, if they are not like them
             new = [s for s in ranked if len(cover[s]) >= max(3, n_bad // 25) and (len(s) > 5 or s in strong)]
@@ -226,7 +245,7 @@ def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 
 def varied(docs: list[set[str]], marks: list[str], seed: int = 0) -> list[set[str]]:
-    """For each toxic document, two with a single one of its words like a landmark: as it is, and with a character put in."""
+    """For each toxic document, three with a single one of its words like a landmark: as it is, with a character put in, and with one after each letter."""
     rng, kernel = np.random.default_rng(seed), Kernel(marks)
     every = sorted(set().union(*docs))
     alike = {w for w, k in zip(every, kernel(every).max(1, initial=0), strict=True) if k >= 0.75}
@@ -236,7 +255,8 @@ def varied(docs: list[set[str]], marks: list[str], seed: int = 0) -> list[set[st
             w = hit[rng.integers(len(hit))]
             at = int(rng.integers(1, max(2, len(w))))
             rest = d - alike
-            out += [rest | {w}, rest | {w[:at] + "-.*_x1"[rng.integers(6)] + w[at:]}]
+            put = "-.*_x1"[rng.integers(6)]
+            out += [rest | {w}, rest | words(w[:at] + put + w[at:]), rest | words(put.join(w))]
     return out
 
 
