@@ -13,6 +13,11 @@ def test_query_equals_sql(name, spark, duck):
     assert rows_of(ours) == rows_of(theirs)
 
 
+def test_whole_table_is_validated(spark):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    assert QUERIES["validation_report_whole"](spark, SF).first().rows_seen == events.count() + events.where("event_id % 50 < 2").count()
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -228,13 +228,15 @@ SELECT symbol, count(*)::BIGINT AS rows_seen, count(*) FILTER (price <= 0 OR qty
 )
 
 
-def _damaged(ticks: DataFrame) -> DataFrame:
-    """Ticks with ids left out and, after some, a repetition that is equal or in conflict."""
-    kept = ticks.where("trade_id % 7 <> 3")
+def _damaged(ticks: DataFrame, gaps: bool = True) -> DataFrame:
+    """Ticks with ids left out (if gaps) and, after some, a repetition that is equal or in conflict."""
+    kept = ticks.where("trade_id % 7 <> 3") if gaps else ticks
     again = kept.where("trade_id % 50 < 2").withColumn("price", F.when(F.col("trade_id") % 2 == 0, F.col("price")).otherwise(F.col("price") + 1))
     return kept.withColumn("source_row", F.col("trade_id") * 2).unionByName(again.withColumn("source_row", F.col("trade_id") * 2 + 1))
 
 
+#: Over all events, none left out.
+_register("validation_report_whole", ORACLES["validation_report"].replace(" WHERE trade_id % 7 <> 3", ""), lambda s, d: Q.validation_report(_damaged(events_as_ticks(s, d), gaps=False)))
 _register(
     "duplicate_ids",
     "SELECT 'LIN' AS symbol, l_orderkey * 8 + l_linenumber AS trade_id, count(*)::BIGINT AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
