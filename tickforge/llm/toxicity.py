@@ -200,7 +200,11 @@ def choose_landmarks(docs: list[set[str]], y: np.ndarray, most: int) -> list[str
 
     def clean_count(s: str) -> int:
         if s not in clean:
-            clean[s] = sum(good[w] for w in set(re.findall(rf"[^\n]*{re.escape(s)}[^\n]*", other)))
+            clean[s], at = 0, other.find(s)
+            while at >= 0:
+                end = other.find("\n", at) % (len(other) + 1)
+                clean[s] += good[other[other.rfind("\n", 0, at) + 1 : end]]
+                at = other.find(s, end)
         return clean[s]
 
     while ranked and len(chosen) < most:
