@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tickforge.llm import components, decontamination, jaccard_join, topk_search
@@ -147,3 +148,23 @@ def test_search_against_brute_force(spark, make, monkeypatch, terms):
         assert [round(g.score, 6) for g in got if g.query_id == q] == pytest.approx(scores, abs=2e-6)
     assert topk_search.search(spark, make([]), make(["a"]), k=3).count() == 0
     assert topk_search.search(spark, make(["a"]), make([]), k=3).count() == 0
+
+
+def test_search_reads_fewer_postings_than_there_are(spark, make):
+    r = random.Random(3)
+    texts = [f"{'rare ' * (k % 97 == 5)}{' '.join(r.choice(['a', 'b', 'c', 'd']) for _ in range(r.randint(3, 30)))}" for k in range(3000)]
+    row = topk_search.build_index(make(texts).select("doc_id", "text").coalesce(1)).collect()[0]
+    shard = topk_search.Shard(row.terms, row.counts, row.postings, row.words / row.docs)
+    words = sorted((int(topk_search.term_counts(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[1][0]), w) for w in ("rare", "a", "b"))
+    terms = np.array([h for h, _ in words], np.uint64)
+    df = [sum(w in t.split() for t in texts) for _, w in words]
+    weights = np.array([math.log(1 + (3000 - n + 0.5) / (n + 0.5)) for n in df])
+    docs, score = shard.search(terms, weights, 5)
+    assert shard.scored < sum(df) / 2
+    want = []
+    for k, t in enumerate(texts):
+        c, n = Counter(t.split()), len(t.split())
+        want.append((-sum(x * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * n / (row.words / row.docs))) for x, (_, w) in zip(weights, words, strict=True) if c[w]), k))
+    best = sorted((round(s, 9), k) for s, k in want)[:5]
+    assert [-s for s, _ in best] == pytest.approx(list(score), abs=1e-8)
+    assert len(shard.search(terms, weights, 5, floor=1e9)[0]) == 0

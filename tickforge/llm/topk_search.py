@@ -1,12 +1,14 @@
-"""Exact top-k search: BM25 over an inverted index with block-max pruning.
-
-Each shard (a run of documents) has its own inverted index, cut into blocks of
-BLOCK documents with the largest impact of each term in each block.  A query's
-upper bound for a block is the sum of its terms' largest impacts there; blocks
-are evaluated in order of their bounds, and those whose bound is below the
-k-th best score so far are skipped.  Document frequencies, the number of
-documents and their mean length are those of all shards, so shards' results
-merge exactly.
+"""Exact top-k search: BM25 over an inverted index with block-max WAND.
+
+Each shard (a run of documents) has its own inverted index in document order;
+each list knows its largest impact, and the largest in each block of BLOCK
+documents.  Under a floor, the k-th best score known so far, the lists' maxima
+give the pivot: documents that only occur in weaker lists cannot reach the
+floor and are never scored.  Block maxima rule out more of the others, and those
+left are scored from the strongest list on until they cannot reach the floor.
+A floor starts from a few documents of the strongest lists and rises from shard
+to shard of a task.  Document frequencies, the number of documents and their
+mean length are those of all shards, so shards' results merge exactly.
 """
 
 from __future__ import annotations
@@ -22,8 +24,12 @@ from tickforge.llm.textcore import LOWER_VALUES, SPACE, U64, Words, row_chunks
 
 K1, B = 1.2, 0.75
 BLOCK = 64
-#: Documents of one shard, at most, and distinct terms of one round of queries, about.
-SHARD, ROUND_TERMS = 8192, 2_000_000
+#: Documents and postings of one shard, about, and terms of one round of queries.
+SHARD, POSTINGS, ROUND_TERMS = 8192, 1 << 22, 2_000_000
+#: Shards that a task searches one after the other.
+TOGETHER = 4
+#: Share of a query's whole bound that rounded sums may be off by.
+SLACK = 2e-5
 _SHARD_SCHEMA = "docs long, words long, terms binary, counts binary, postings binary"
 
 
@@ -55,14 +61,14 @@ def build_index(docs: DataFrame) -> DataFrame:
 
     def f(batches):
         held: list = []
-        n = 0
+        n = size = 0
 
         def out():
-            nonlocal n
+            nonlocal n, size
             if held:
                 ids, lens, row, h, c = (np.concatenate(x) for x in zip(*held, strict=True))
                 held.clear()
-                n = 0
+                n = size = 0
                 # like documents side by side: by their most frequent word, then their length
                 top = np.zeros(len(ids), U64)
                 if len(row):
@@ -76,74 +82,140 @@ def build_index(docs: DataFrame) -> DataFrame:
                 order = np.lexsort((row, h))
                 row, h, c = row[order].astype(np.int32), h[order], c[order].astype(np.int32)
                 first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-                size = np.diff(np.append(first, len(h))).astype(np.int32)
+                each = np.diff(np.append(first, len(h))).astype(np.int32)
                 parts = [_z(ids[by]), _z(lens[by].astype(np.int32)), _z(np.diff(row, prepend=np.int32(0))), _z(c)]
                 postings = np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
-                yield pa.RecordBatch.from_arrays([pa.array([len(ids)]), pa.array([int(lens.sum())]), pa.array([_z(h[first])], pa.binary()), pa.array([_z(size)], pa.binary()), pa.array([postings], pa.binary())], names=["docs", "words", "terms", "counts", "postings"])
+                yield pa.RecordBatch.from_arrays([pa.array([len(ids)]), pa.array([int(lens.sum())]), pa.array([_z(h[first])], pa.binary()), pa.array([_z(each)], pa.binary()), pa.array([postings], pa.binary())], names=["docs", "words", "terms", "counts", "postings"])
 
         for b in batches:
             ids = S.ids(b["doc_id"])
             for a, e, data, off in row_chunks(b["text"]):
                 row, h, c, lens = term_counts(data, off)
-                if n + e - a > SHARD:
+                if n + e - a > SHARD or size + len(row) > POSTINGS:
                     yield from out()
                 held.append((ids[a:e], lens, row + n, h, c))
-                n += e - a
+                n, size = n + e - a, size + len(row)
         yield from out()
 
     return docs.mapInArrow(f, _SHARD_SCHEMA)
 
 
+def kth(scores: np.ndarray, k: int) -> float:
+    """The k-th largest, or 0."""
+    return float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) > k else 0.0
+
+
 class Shard:
+    """The index of one shard, its lists by term and, of the same postings, by document.
+
+    ``scored`` counts the postings that searches have read.
+    """
+
     def __init__(self, terms: bytes, counts: bytes, postings: bytes, mean: float):
         sizes = np.frombuffer(postings, np.int64, 4)
         at = np.cumsum([32, *sizes])
         part = [postings[at[k] : at[k + 1]] for k in range(4)]
         self.terms, size = _un(terms, U64), _un(counts, np.int32)
         self.ids, lens = _un(part[0], np.int64), _un(part[1], np.int32)
-        self.doc, tf = np.cumsum(_un(part[2], np.int32)).astype(np.int64), _un(part[3], np.int32).astype(np.float64)
+        self.doc, tf = np.cumsum(_un(part[2], np.int32), dtype=np.int64), _un(part[3], np.int32).astype(np.float64)
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lens[self.doc] / mean))
-        self.blocks = -(-len(self.ids) // BLOCK)
-        # entries: the postings of one term in one block
-        term = np.repeat(np.arange(len(size)), size)
-        block = self.doc // BLOCK
-        new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        self.start = np.flatnonzero(new)
-        self.end = np.append(self.start[1:], len(term))
-        self.block = block[self.start]
-        self.most = np.maximum.reduceat(self.impact, self.start) if len(term) else np.zeros(0)
-        self.first = np.searchsorted(term[self.start], np.arange(len(size) + 1))
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(document, score) of the shard's k best, scores rounded to nine places, ties by doc_id; terms ascending."""
+        self.first = np.append(0, np.cumsum(size, dtype=np.int64))
+        self.scored = 0
+        if not len(self.doc):
+            return
+        self.top = np.maximum.reduceat(self.impact, self.first[:-1])
+        # block maxima: one entry for each term and block in which it occurs
+        term, block = np.repeat(np.arange(len(size), dtype=np.int32), size), self.doc // BLOCK
+        start = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])))
+        self.block, self.most = block[start], np.maximum.reduceat(self.impact, start)
+        self.entry = np.searchsorted(start, self.first)
+        # the same postings by document
+        by = np.argsort(self.doc.astype(np.uint16) if len(self.ids) <= 1 << 16 else self.doc, kind="stable")
+        self.own_term, self.own_impact = term[by], self.impact[by]
+        self.own = np.append(0, np.cumsum(np.bincount(self.doc, minlength=len(self.ids))))
+        self.weight = np.zeros(len(size))
+        # long lists once more as rows of all documents
+        frequent = np.flatnonzero(size >= max(8, len(self.ids) // 40))
+        self.row = np.full(len(size), -1, np.int32)
+        self.row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), len(self.ids)), np.float32)
+        which, p = S.ranges(self.first[frequent], self.first[frequent + 1])
+        self.dense[which, self.doc[p]] = self.impact[p]
+
+    def added(self, total: np.ndarray, lists: np.ndarray, w: np.ndarray) -> None:
+        """Adds whole lists to the documents' totals."""
+        lo, hi = self.first[lists], self.first[lists + 1]
+        self.scored += int((hi - lo).sum())
+        row = self.row[lists]
+        there, step = row >= 0, np.empty_like(total)
+        for r, x in zip(row[there].tolist(), w[there].astype(np.float32), strict=True):
+            np.multiply(self.dense[r], x, out=step)
+            np.add(total, step, out=total)
+        lo, hi, w = lo[~there], hi[~there], w[~there]
+        if len(lo):
+            _, p = S.ranges(lo, hi)
+            total += np.bincount(self.doc[p], weights=self.impact[p] * np.repeat(w, hi - lo), minlength=len(total)).astype(np.float32)
+
+    def lift(self, lists: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The most that lists can add to a document of each block."""
+        lo, hi = self.entry[lists], self.entry[lists + 1]
+        _, e = S.ranges(lo, hi)
+        return np.bincount(self.block[e], weights=self.most[e] * np.repeat(w, hi - lo), minlength=-(-len(self.ids) // BLOCK))
+
+    def exact(self, docs: np.ndarray) -> np.ndarray:
+        """Scores of documents under the weights in self.weight, each summed in the order of terms."""
+        which, p = S.ranges(self.own[docs], self.own[docs + 1])
+        self.scored += len(p)
+        return np.bincount(which, weights=self.own_impact[p] * self.weight[self.own_term[p]], minlength=len(docs))
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """(document, score) of the shard's k best that reach floor, scores rounded to nine places, ties by doc_id; terms ascending.
+
+        Block-max WAND with all documents of the shard as cursors at once.  Lists
+        are taken from the largest maximum down.  Documents found only in lists
+        after the pivot, whose maxima together stay below the floor, are never
+        touched; of the others, those in blocks whose maxima cannot lift them to
+        the floor go next; the rest are scored list by list and go as soon as
+        what is left cannot lift them.
+        """
         i = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         there = self.terms[i] == terms
         i, w = i[there], weights[there]
-        which, entry = S.ranges(self.first[i], self.first[i + 1])
-        if not len(entry):
+        if not len(i):
             return np.zeros(0, np.int64), np.zeros(0)
-        w, block = w[which], self.block[entry]
-        bound = np.bincount(block, weights=w * self.most[entry], minlength=self.blocks)
+        self.weight[i] = w
+        bound = w * self.top[i]
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        docs, scores, floor, at, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, max(2, -(-2 * k // BLOCK))
-        while at < len(order) and bound[order[at]] >= floor - 1e-6:
-            now = order[at : at + step]
-            now = now[bound[now] >= floor - 1e-6]
-            mark = np.zeros(self.blocks, bool)
-            mark[now] = True
-            own = np.flatnonzero(mark[block])
-            part, p = S.ranges(self.start[entry[own]], self.end[entry[own]])
-            total = np.bincount(self.doc[p], weights=self.impact[p] * w[own][part], minlength=len(self.ids))
-            hit = np.flatnonzero(total)
-            docs, scores = np.concatenate([docs, self.ids[hit]]), np.concatenate([scores, np.round(total[hit], 9)])
-            best = np.lexsort((docs, -scores))[:k]
-            docs, scores = docs[best], scores[best]
-            if len(docs) == k:
-                floor = scores[-1]
-            at, step = at + step, step * 2
-        return docs, scores
+        lists, w, bound = i[order], w[order], bound[order]
+        left = np.append(np.cumsum(bound[::-1])[::-1], 0.0)  # what the lists from here on can add
+        size = np.append(0, np.cumsum(self.first[lists + 1] - self.first[lists]))  # postings before each list
+        total, slack = np.zeros(len(self.ids), np.float32), SLACK * left[0]
+        # the strongest lists: an eighth of all postings, or all that hold pivots
+        pivot = int(np.count_nonzero(left[:-1] >= floor - slack))
+        at = min(pivot, max(1, int(np.searchsorted(size, size[-1] // 8, side="right")) - 1))
+        self.added(total, lists[:at], w[:at])
+        floor = max(floor, kth(total, k))  # scores so far are lower bounds
+        pivot = int(np.count_nonzero(left[:-1] >= floor - slack))
+        if pivot > at:
+            self.added(total, lists[at:pivot], w[at:pivot])
+            at = pivot
+        found = np.flatnonzero(total >= max(floor - slack - left[at], 1e-30))
+        if at < len(lists):
+            found = found[total[found] + self.lift(lists[at:], w[at:])[found // BLOCK] >= floor - slack]
+        while at < len(lists) and len(found) > 2 * k:
+            many = len(found) > len(total) // 16 or len(lists) - at < 8
+            to = len(lists) if many else max(at + 1, int(np.count_nonzero(left[:-1] > left[at] / 2)))
+            self.added(total, lists[at:to], w[at:to])
+            at = to
+            now = total[found]
+            floor = max(floor, kth(now, k))
+            found = found[now >= floor - slack - left[at]]
+        score = np.round(self.exact(found), 9)
+        self.weight[i] = 0
+        docs = self.ids[found]
+        best = np.lexsort((docs, -score))[:k]
+        best = best[score[best] > 0]
+        return docs[best], score[best]
 
 
 def search(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -162,7 +234,7 @@ def search(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = 10
     S.ship(spark)
     docs = S.text_only(docs).where("doc_id is not null")
     index = S.settle(spark, build_index(docs), "index")
-    n, words = index.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    n, words, shards = index.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0)), F.count(F.lit(1))).first()
     mean = max(1.0, words / max(1, n))
 
     def terms_of(batches):
@@ -180,7 +252,7 @@ def search(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = 10
     found = None
     for r in range(rounds):
         own = [(x["q"], np.frombuffer(x["terms"], U64)) for x in wanted.where(F.pmod(F.xxhash64("q"), F.lit(rounds)) == r).toLocalIterator() if len(x["terms"])]
-        part = S.settle(spark, one_round(index, own, n, mean, k), f"round{r}")
+        part = S.settle(spark, one_round(index, own, shards, n, mean, k), f"round{r}")
         found = part if found is None else found.unionByName(part)
     return found.select("query_id", F.posexplode("best").alias("pos", "b")).select("query_id", (F.col("pos") + 1).alias("rank"), F.col("b.doc_id").alias("doc_id"), (-F.col("b.minus")).alias("score"))
 
@@ -190,8 +262,8 @@ def merged(rows: DataFrame, k: int, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
 
 
-def one_round(index: DataFrame, queries: list[tuple[int, np.ndarray]], n: int, mean: float, k: int) -> DataFrame:
-    """Each shard's k best for each query, with the global document frequencies of the queries' terms."""
+def one_round(index: DataFrame, queries: list[tuple[int, np.ndarray]], shards: int, n: int, mean: float, k: int) -> DataFrame:
+    """Each task's k best for each query, with the global document frequencies of the queries' terms."""
     spark = index.sparkSession
     vocabulary = np.unique(np.concatenate([t for _, t in queries])) if queries else np.zeros(0, U64)
     known = spark.sparkContext.broadcast(vocabulary)
@@ -220,22 +292,31 @@ def one_round(index: DataFrame, queries: list[tuple[int, np.ndarray]], n: int, m
     asked = spark.sparkContext.broadcast([(q, t, idf[np.searchsorted(vocabulary, t)]) for q, t in queries])
 
     def best(batches):
-        from pyspark import TaskContext
-
+        # what a query has found in a task's first shards is its floor in the others
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        none = np.zeros(0, np.int64), np.zeros(0)
         for b in batches:
             for t, c, p in zip(b["terms"].to_pylist(), b["counts"].to_pylist(), b["postings"].to_pylist(), strict=True):
                 shard = Shard(t, c, p, mean)
                 if not len(shard.terms):
                     continue
-                found = [(q, *shard.search(terms, weights, k)) for q, terms, weights in asked.value]
-                found = [f for f in found if len(f[1])]
-                if found:
-                    cuts = np.cumsum([0, *(len(f[1]) for f in found)])
-                    inner = pa.StructArray.from_arrays([pa.array(-np.concatenate([f[2] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["minus", "doc_id"])
-                    own = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), inner)
-                    part = TaskContext.get().partitionId() % 64
-                    yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([part] * len(found), pa.int32()), own], names=["query_id", "part", "best"])
-
-    # shards' lists meet in two steps, so that no key gathers those of all shards
-    lists = index.select("terms", "counts", "postings").repartition(max(1, S.partitions(spark))).mapInArrow(best, "query_id long, part int, best array<struct<minus:double,doc_id:bigint>>")
+                for j, (_, terms, weights) in enumerate(asked.value):
+                    docs, score = held.get(j, none)
+                    more, own = shard.search(terms, weights, k, float(score[k - 1]) if len(score) >= k else 0.0)
+                    if len(more):
+                        docs, score = np.concatenate([docs, more]), np.concatenate([score, own])
+                        order = np.lexsort((docs, -score))[:k]
+                        held[j] = docs[order], score[order]
+        if held:
+            from pyspark import TaskContext
+
+            found = [(asked.value[j][0], *held[j]) for j in sorted(held)]
+            cuts = np.cumsum([0, *(len(f[1]) for f in found)])
+            inner = pa.StructArray.from_arrays([pa.array(-np.concatenate([f[2] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["minus", "doc_id"])
+            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), inner)
+            part = TaskContext.get().partitionId() % 64
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([part] * len(found), pa.int32()), lists], names=["query_id", "part", "best"])
+
+    # tasks' lists meet in two steps, so that no key gathers those of all tasks
+    lists = index.select("terms", "counts", "postings").repartition(-(-shards // TOGETHER) or 1).mapInArrow(best, "query_id long, part int, best array<struct<minus:double,doc_id:bigint>>")
     return merged(merged(lists, k, "query_id", "part"), k, "query_id")
