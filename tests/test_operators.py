@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -122,23 +123,31 @@ def histogram(spark, volumes):
     return spark.createDataFrame([("A", pd.Timestamp("2024-01-01").to_pydatetime(), float(10 * k), float(v)) for k, v in enumerate(volumes)], "symbol string, session timestamp, price_bin double, volume double")
 
 
-def greedy(v, share=0.7):
-    at = lo = hi = v.index(max(v))
-    acc = v[at]
-    while acc < share * sum(v) and (lo > 0 or hi < len(v) - 1):
-        below, above = v[lo - 1] if lo else -1, v[hi + 1] if hi < len(v) - 1 else -1
-        if above >= below:
-            hi += 1
-            acc += above
-        else:
-            lo -= 1
-            acc += below
-    return 10.0 * at, 10.0 * hi, 10.0 * lo
+#: Volumes by bin (edges 0, 10, 20, ...), then the point of control, the upper and the lower edge, worked out by hand.
+AREAS = [
+    ([5], (0, 0, 0)),
+    ([1, 5, 5, 1], (10, 20, 10)),  # the first of two peaks, then the larger side
+    ([9, 1, 1, 1], (0, 0, 0)),  # the peak alone has 75 %
+    ([1, 1, 1, 9], (30, 30, 30)),
+    ([2, 3, 2, 3, 2], (10, 40, 10)),  # equal sides: up, each time
+    ([1, 2, 9, 2, 1, 0.5, 4], (20, 40, 10)),  # up, down, up
+    ([4, 1, 1], (0, 10, 0)),  # nothing below
+]
 
 
-@pytest.mark.parametrize("v", [[5], [1, 5, 5, 1], [9, 1, 1, 1], [1, 1, 1, 9], [2, 3, 2, 3, 2], [1, 2, 9, 2, 1, 0.5, 4]])
-def test_value_area(spark, v):
-    assert tuple(P.value_area(histogram(spark, v)).first()[2:]) == greedy(v)
+@pytest.mark.parametrize(("volumes", "want"), AREAS)
+def test_value_area(spark, volumes, want):
+    assert tuple(P.value_area(histogram(spark, volumes)).first()[2:]) == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_value_area_is_no_larger_than_needed(spark, seed):
+    v = np.random.default_rng(seed).integers(1, 50, 30).astype(float)
+    poc, top, bottom = (int(x) // 10 for x in P.value_area(histogram(spark, v)).first()[2:])
+    inside = v[bottom : top + 1].sum()
+    assert poc == v.argmax() and bottom <= poc <= top and inside >= 0.7 * v.sum()
+    # one of the ends was the last to come, and without it the share was missed
+    assert min(inside - v[bottom], inside - v[top]) < 0.7 * v.sum() or bottom == top
 
 
 def test_nodes_use_interpolated_quantiles(spark):

@@ -1,8 +1,12 @@
 """Archives, ledger and the ingestion's life."""
 
 import hashlib
+import io
+import logging
 import zipfile
 
+from pathlib import Path
+
 import pytest
 
 from tickforge import config as C
@@ -35,7 +39,7 @@ def put(folder, name, text):
 @pytest.fixture
 def config(tmp_path):
     path = tmp_path / "c.yaml"
-    path.write_text(f"symbol: BTC\nstart_month: '2024-01'\ninbox: {tmp_path / 'in'}\nwarehouse: {tmp_path / 'out'}\nmin_free_disk_gb: 0.001\nintervals: [1min, 1h, 1d]\nfeatures: {{orderflow_intervals: [1min, 1h]}}\n")
+    path.write_text(f"symbol: BTC\nstart_month: '2024-01'\ninbox: {tmp_path / 'in'}\nwarehouse: {tmp_path / 'out'}\nmin_free_disk_gb: 0.001\nrow_group_rows: 20\nintervals: [1min, 1h, 1d]\nfeatures: {{orderflow_intervals: [1min, 1h]}}\n")
     return C.load(path)
 
 
@@ -44,21 +48,33 @@ def test_layout(tmp_path):
     assert L.verify(put(tmp_path, "A-trades-2024-02.zip", lines())).status == "ok"
     assert L.verify(put(tmp_path, "A-trades-2024-03.csv", "1,2\n")).status == "empty"
     assert L.verify(put(tmp_path, "A-trades-2024-04.csv", lines().replace("\n", ",true\n"))).status == "wrong_market"
-    assert L.verify(put(tmp_path, "A-trades-2024-05.csv", "1,2,3,4,5\n" * 20)).status == "unsupported_layout"
+    for n in (5, 8):
+        assert L.verify(put(tmp_path, "A-trades-2024-05.csv", (",".join("12345678"[:n]) + "\n") * 20)).status == "corrupted"
     broken = tmp_path / "A-trades-2024-06.zip"
     broken.write_bytes(b"PK" + b"x" * 100)
     assert L.verify(broken).status == "corrupted"
     with zipfile.ZipFile(tmp_path / "A-trades-2024-07.zip", "w") as z:
         z.writestr("a.csv", lines())
         z.writestr("b.csv", lines())
-    assert L.verify(tmp_path / "A-trades-2024-07.zip").status == "corrupted"
+    assert L.verify(tmp_path / "A-trades-2024-07.zip").status == "unsupported_layout"
+    tiny = tmp_path / "A-trades-2024-08.zip"
+    tiny.write_bytes(b"PK")
+    assert L.verify(tiny).status == "corrupted"
+    assert L.verify(put(tmp_path, "A-trades-2024-09.zip", "1,2\n")).status == "empty"
+    # a flipped byte inside the packed CSV
+    raw = bytearray(put(tmp_path, "A-trades-2024-10.zip", HEADER + lines()).read_bytes())
+    raw[len(raw) // 2] ^= 0xFF
+    (tmp_path / "A-trades-2024-10.zip").write_bytes(raw)
+    assert L.verify(tmp_path / "A-trades-2024-10.zip").status == "corrupted"
     (tmp_path / "notes.csv").write_text("x")
-    assert [f.year_month for f in L.scan_inbox(tmp_path, "A")] == [f"2024-{k:02d}" for k in range(1, 8)]
+    assert [f.year_month for f in L.scan_inbox(tmp_path, "A")] == [f"2024-{k:02d}" for k in range(1, 11)]
     assert [p.name for p in L.unrecognized(tmp_path)] == ["notes.csv"]
+    head = lambda text: L.Head.of(io.BytesIO(text))
+    assert head(b"id,price\n-5,1,1,1,1,true\n") == (True, 6) and head(b"-5,1,1,1,1,true") == (False, 6) and head(b"") == (True, 0)
     with pytest.raises(WrongMarketError):
-        L.check_layout(["1,2,3,4,5,true,true"], "x")
+        head(b"1,2,3,4,5,true,true").checked("x")
     with pytest.raises(CorruptedArchiveError):
-        L.check_layout([], "x")
+        head(b"\n").checked("x")
 
 
 def test_sidecar(tmp_path):
@@ -104,8 +120,15 @@ def test_whole_life(spark, config):
     names = {p.name for p in (config.warehouse / "features").iterdir()}
     assert {"atr_1h", "footprint", "orderflow_1min", "session_profile_summary", "developing_poc"} <= names
     assert W.current(spark, config.warehouse / "features" / "footprint").count() > 0
-    assert list(config.reports.glob("BTC_2024-01_*.md")) and "may be deleted" in report_text(config, led, "2024-01")
+    assert list(config.reports.glob("BTC_2024-01_*.md")) and "The source may: be deleted" in report_text(config, led, "2024-01")
     assert any("reported" in x for x in status(config)) and any("wrong_market" in x for x in discover(config))
+    import pyarrow.parquet as pq
+
+    part = next(p for p in Path(row["ticks_path"]).glob("*.parquet"))
+    assert pq.ParquetFile(part).metadata.row_group(0).num_rows <= 20
+    assert "verified" in report_text(config, led, "2024-01") and "footprint" in report_text(config, led, "2024-01")
+    stored = W.current(spark, config.warehouse / "features" / "orderflow_1min").toPandas()
+    assert stored["bar_time"].is_monotonic_increasing
     # again: nothing to do
     assert [r.detail for r in I.run(spark, config)][:2] == ["already reported"] * 2
     with pytest.raises(VerificationFailedError):
@@ -113,7 +136,7 @@ def test_whole_life(spark, config):
     assert I.delete_source(config, led, "2024-01") and not (config.inbox / "BTC-trades-2024-01.zip").exists()
     # a stop before the report, without the source: resumed
     led.update("BTC", "2024-01", checkpoint="features_generated")
-    assert I.resume(spark, config, led)[0].detail == "resumed" and led.month("BTC", "2024-01")["checkpoint"] == "reported"
+    assert I.finish(spark, config, led)[0].detail == "resumed" and led.month("BTC", "2024-01")["checkpoint"] == "reported"
     # damaged ticks are found and taken from the source again
     led.update("BTC", "2024-02", checkpoint="ticks_written", verification_status=None, rows_written=7)
     assert [r.status for r in I.run(spark, config) if r.year_month == "2024-02"] == ["failed"]
@@ -139,3 +162,27 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("bars_stream").collect())) == sorted(map(tuple, bars(t, "1min").collect()))
+
+
+def test_disk_guard_stops_a_running_write(spark, tmp_path, monkeypatch):
+    from tickforge.errors import DiskSpaceGuardError
+
+    looks = iter([None, None])
+
+    def low(folder, least):
+        if next(looks, "low"):
+            raise DiskSpaceGuardError("low")
+
+    monkeypatch.setattr(W, "check_disk", low)
+    slow = spark.range(4, numPartitions=4).selectExpr("id", "reflect('java.lang.Thread', 'sleep', 20000L)")
+    with pytest.raises(DiskSpaceGuardError), W.disk_guard(spark, tmp_path, 1.0, every_s=0.5):
+        slow.write.parquet(str(tmp_path / "x"))
+
+
+def test_missing_ticks_are_named(config, caplog):
+    led = Ledger(config.ledger)
+    led.begin("BTC", "2024-01", "p", "zip")
+    led.update("BTC", "2024-01", status="done", ticks_path=str(config.ticks / "gone"))
+    with caplog.at_level(logging.WARNING, "tickforge"):
+        assert I.done_paths(config, led) == []
+    assert "2024-01" in caplog.text

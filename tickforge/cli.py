@@ -27,11 +27,18 @@ def set_up_logging(folder: Path, level: str = "INFO") -> logging.Logger:
 
 
 def status(config: C.Config) -> list[str]:
+    """One line for each month, then coverage, sums, what comes next and what is missing."""
     ledger = Ledger(config.ledger)
-    rows = [f"{r['year_month']}  {r['status']:<16} {r['checkpoint'] or '-':<19} {r['rows_written'] or 0:>14,}" for r in ledger.months(config.symbol)]
-    out = [*rows, f"next: {next_required(ledger, config.symbol, config.start_month)}; missing: {', '.join(missing(ledger, config.symbol, config.start_month)) or 'none'}"]
-    ledger.close()
-    return out
+    try:
+        wide = "{:<8} {:<16} {:<19} {:<20} {:>16}".format
+        rows = [wide(r["year_month"], r["status"], r["checkpoint"] or "-", r["verification_status"] or "-", f"{r['rows_written'] or 0:,}") for r in ledger.months(config.symbol)]
+        total, gaps = ledger.totals(config.symbol), missing(ledger, config.symbol, config.start_month)
+        out = [wide("month", "status", "checkpoint", "verification", "rows"), *rows] if rows else ["no month yet"]
+        if total["months"]:
+            out.append(f"done: {total['months']} months, {total['first_month']} to {total['last_month']}, {total['rows_written']:,} rows")
+        return [*out, f"next: {next_required(ledger, config.symbol, config.start_month)}; missing: {', '.join(gaps) or 'none'}"]
+    finally:
+        ledger.close()
 
 
 def discover(config: C.Config) -> list[str]:
@@ -79,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
     if not bars:
         bars = warehouse.build_bars(spark, config, ticks)
     for name, df in warehouse.features(config, ticks, bars).items():
-        warehouse.publish(df, config.warehouse / "features" / name)
+        warehouse.publish(df, config.warehouse / "features" / name, sort=warehouse.table_order(df))
     return 0
 
 

@@ -36,6 +36,7 @@ class Config:
     intervals: tuple[str, ...] = INTERVALS
     min_free_disk_gb: float = 2.0
     jump: float = 0.05
+    row_group_rows: int = 500_000
     features: Features = field(default_factory=Features)
 
     @property

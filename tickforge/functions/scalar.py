@@ -10,6 +10,8 @@ FIXED_MICROS = {"1s": 1_000_000, "1min": 60_000_000, "5min": 300_000_000, "15min
 CALENDAR_UNITS = {"1d": "day", "1w": "week", "1mo": "month"}
 #: Raw times from here on are microseconds, below milliseconds.
 MICROSECONDS_FROM = 10**15
+#: The type that exact sums add up; quantities have up to eight places.
+EXACT = "decimal(28,8)"
 
 
 def instant(ns: str | Column) -> Column:
@@ -83,5 +85,5 @@ def valid(*columns: str) -> Column:
 
 
 def total(x: Column, exact: bool) -> Column:
-    """Sum as a double; exact: of decimals of six places, so that the order of addition cannot matter."""
-    return F.sum(x.cast("decimal(20,6)")).cast("double") if exact else F.sum(x)
+    """Sum as a double; exact: of decimals of eight places, so that the order of addition cannot matter."""
+    return F.sum(x.cast(EXACT)).cast("double") if exact else F.sum(x)

@@ -10,20 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.functions.scalar import bar_start, ratio, restart, total, valid
+from tickforge.functions.scalar import EXACT, bar_start, ratio, restart, total, valid
 from tickforge.schemas import BARS, INTERVALS
 
-#: The finer interval that each is made of in a cascade.
-FINER = {"1min": "1s", "5min": "1min", "15min": "5min", "30min": "15min", "1h": "30min", "4h": "1h", "1d": "1h", "1w": "1d", "1mo": "1d"}
-
-
 def valid_ticks(ticks: DataFrame) -> DataFrame:
     """Ticks with a price and a quantity above 0."""
     return ticks.where(valid("price", "qty"))
 
 
 def _sum(column: str, exact: bool):
-    return F.sum(F.col(column).cast("decimal(20,6)")) if exact else F.sum(column)
+    return F.sum(F.col(column).cast(EXACT)) if exact else F.sum(column)
 
 
 def bar_state(ticks: DataFrame, interval: str, exact: bool = False) -> DataFrame:
@@ -64,16 +60,13 @@ def bars(ticks: DataFrame, interval: str, exact: bool = False) -> DataFrame:
 
 
 def cascade(ticks: DataFrame, intervals: tuple[str, ...] = INTERVALS, exact: bool = False, keep=None) -> dict[str, DataFrame]:
-    """Bars of all intervals, each made of a finer one; keep(name, state) may store a state and return what was stored."""
-    need, states = set(), {}
-    for i in intervals:
-        while i:
-            need.add(i)
-            i = FINER.get(i)
-    for i in INTERVALS:
-        if i in need:
-            state = bar_state(ticks, i, exact) if i not in FINER else merge_state(states[FINER[i]], i)
-            states[i] = keep(i, state) if keep else state
+    """Bars of all intervals: the finest is made of ticks, each other one of the coarsest before it whose bars lie inside its own; keep(name, state) may store a state and return what was stored."""
+    states: dict[str, DataFrame] = {}
+    for i in (i for i in INTERVALS if i in intervals):
+        # bars of a week or a month nest in nothing
+        finer = [j for j in states if j not in ("1w", "1mo")]
+        state = merge_state(states[finer[-1]], i) if finer else bar_state(ticks, i, exact)
+        states[i] = keep(i, state) if keep else state
     return {i: finish(states[i]) for i in intervals}
 
 

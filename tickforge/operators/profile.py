@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickforge.functions.scalar import bar_start, bucket_micros, price_bin, restart, session_of, total
+from tickforge.functions.scalar import EXACT, bar_start, bucket_micros, price_bin, restart, session_of, total
 
 
 def footprint(ticks: DataFrame, interval: str = "1min", bin_size: float = 10.0, exact: bool = False) -> DataFrame:
@@ -100,7 +100,7 @@ def developing_poc(ticks: DataFrame, bin_size: float = 10.0, minutes: int = 15,
     rows = ticks.select("symbol", session_of("trade_time_ns").alias("session"), bucket_micros("trade_time_ns", minutes * 60_000_000).alias("step_time"), price_bin("price", bin_size).alias("price_bin"), "qty")
     rows = rows.groupBy("symbol", "session", "step_time", "price_bin").agg(total(F.col("qty"), exact).alias("v"))
     by_bin = Window.partitionBy("symbol", "session", "price_bin").orderBy("step_time").rowsBetween(Window.unboundedPreceding, 0)
-    run = F.sum(F.col("v").cast("decimal(20,6)")).over(by_bin).cast("double") if exact else F.sum("v").over(by_bin)
+    run = F.sum(F.col("v").cast(EXACT)).over(by_bin).cast("double") if exact else F.sum("v").over(by_bin)
     rows = rows.withColumn("running_volume", run)
     best = F.max(F.struct(F.col("running_volume"), (-F.col("price_bin")).alias("neg")))
     if traded_only:

@@ -29,14 +29,18 @@ def _count(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
-def validation_report(ticks: DataFrame, order: str = "source_row", by: tuple[str, ...] = ("symbol",), jump: float = 0.05, chunk: int = CHUNK) -> DataFrame:
+def validation_report(ticks: DataFrame, order: str = "source_row", by: tuple[str, ...] | None = None, jump: float = 0.05, chunk: int = CHUNK) -> DataFrame:
     """One row of counters for each group; all rows count, also those that ingestion rejects.
 
+    A group is a symbol, and where ticks name their source_file, a file of it:
+    source rows are counted from 0 in each file.
+
     Ids and duplicates are compared with the row before; a repeated id is a
     duplicate row if price, quantity and side are equal too (NaN equals
     nothing), else a conflict.  A jump is a relative price change beyond
     ``jump`` from a price above 0.
     """
+    by = by or (("symbol", "source_file") if "source_file" in ticks.columns else ("symbol",))
     p, q = F.col("price"), F.col("qty")
     prev = lambda c: F.col(f"prev.{c}")
     gap = F.col("trade_id") - prev("trade_id")

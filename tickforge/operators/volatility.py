@@ -2,78 +2,59 @@
 
 from __future__ import annotations
 
-import numpy as np
+import math
+
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions.scalar import ratio
+from tickforge.operators.history import BLOCK, blocked, in_block, previous
 
-#: Bars of one task in the blocked operators.
-BLOCK = 50_000
+#: Weight below which what an average started from cannot show in a double.
+NOTHING = 1e-19
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """rows with _n, their place from 0 in their symbol, made in two phases by month so that no window spans a whole history."""
-    rows = rows.withColumn("_month", F.date_trunc("month", "bar_time"))
-    inside = Window.partitionBy("symbol", "_month").orderBy("bar_time")
-    before = Window.partitionBy("symbol").orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy("symbol", "_month").count().select("symbol", "_month", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    return rows.withColumn("_n", F.row_number().over(inside) - 1).join(counts, ["symbol", "_month"]).withColumn("_n", F.col("_n") + F.col("_before")).drop("_month", "_before")
+def _true_range(before: Column) -> Column:
+    return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
 
 
 def true_range(bars: DataFrame) -> DataFrame:
     """max(high - low, |high - previous close|, |low - previous close|); not for the first bar."""
-    w = Window.partitionBy("symbol").orderBy("bar_time")
-    rows = bars.select("symbol", "bar_time", "high", "low", F.lag("close").over(w).alias("prev")).where("prev is not null")
-    return rows.select("symbol", "bar_time", F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("prev")), F.abs(F.col("low") - F.col("prev"))).alias("true_range"))
+    rows = previous(bars.select("symbol", "bar_time", "high", "low", "close"), F.col("close"), "before").where("before is not null")
+    return rows.select("symbol", "bar_time", _true_range(F.col("before")).alias("true_range"))
 
 
 def atr(bars: DataFrame, period: int = 14, block: int = BLOCK) -> DataFrame:
     """true_range and its average atr: atr = (1 - 1/period) * atr before + true_range / period, seeded with the first true range.
 
-    Steps are affine maps and compose: each block of bars is folded by itself,
-    the blocks' maps are chained (a row a block), and each block is replayed
-    from its true start.
+    Blocks of bars are averaged on their own.  The weight of what came before
+    shrinks by 1 - 1/period a bar, so each block starts as many bars early as
+    bring it below a double's precision; the first block starts from the seed.
     """
-    keep = 1 - 1 / period
-    rows = _numbered(true_range(bars)).withColumn("_block", F.floor(F.col("_n") / block))
-
-    def fold(x: np.ndarray, start: float | None) -> np.ndarray:
-        if start is None:
-            return pd.Series(x).ewm(alpha=1 / period, adjust=False).mean().to_numpy()
-        return pd.Series(np.append(start, x)).ewm(alpha=1 / period, adjust=False).mean().to_numpy()[1:]
+    reach = 2 if period == 1 else math.ceil(math.log(NOTHING) / math.log(1 - 1 / period)) + 1
+    rows = blocked(bars.select("symbol", "bar_time", "high", "low", "close"), reach, block)
+    rows = rows.withColumn("true_range", _true_range(F.lag("close").over(in_block()))).where("true_range is not null and _n > 0")
+    # greatest() passes over nulls: the first bar of a block's lead has no close before it
+    rows = rows.select("symbol", "_block", "bar_time", "_n", "_own", "true_range")
 
-    def ends(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values("_n")
-        first = int(p["_block"].iloc[0]) == 0
-        x = p["true_range"].to_numpy()
-        last = fold(x, None if first else 0.0)[-1]
-        return pd.DataFrame({"symbol": [p["symbol"].iloc[0]], "_block": [p["_block"].iloc[0]], "last": [last], "left": [0.0 if first else keep ** len(x)]})
-
-    def chain(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values("_block")
-        out, at = [], np.nan
-        for last, left in zip(p["last"], p["left"], strict=True):
-            out.append(at)
-            at = last if left == 0.0 and np.isnan(at) else last + left * at
-        return pd.DataFrame({"symbol": p["symbol"], "_block": p["_block"], "start": out})
-
-    def replay(p: pd.DataFrame) -> pd.DataFrame:
+    def averaged(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("_n")
-        start = p["start"].iloc[0]
-        p["atr"] = fold(p["true_range"].to_numpy(), None if pd.isna(start) else float(start))
-        return p[["symbol", "bar_time", "true_range", "atr"]]
+        p["atr"] = p["true_range"].ewm(alpha=1 / period, adjust=False).mean()
+        return p.loc[p["_own"], ["symbol", "bar_time", "true_range", "atr"]]
 
-    starts = rows.groupBy("symbol", "_block").applyInPandas(ends, "symbol string, _block long, last double, left double").groupBy("symbol").applyInPandas(chain, "symbol string, _block long, start double")
-    return rows.join(starts, ["symbol", "_block"]).groupBy("symbol", "_block").applyInPandas(replay, "symbol string, bar_time timestamp, true_range double, atr double")
+    return rows.groupBy("symbol", "_block").applyInPandas(averaged, "symbol string, bar_time timestamp, true_range double, atr double")
 
 
 def realized_volatility(bars: DataFrame, window: int = 30) -> DataFrame:
-    """Sample deviation of the last ``window`` log returns; not annualised."""
-    w = Window.partitionBy("symbol").orderBy("bar_time")
-    rows = bars.select("symbol", "bar_time", "close", F.ln(ratio(F.col("close"), F.lag("close").over(w))).alias("log_return")).where("log_return is not null")
-    return rows.withColumn("realized_vol", F.stddev_samp("log_return").over(w.rowsBetween(-(window - 1), 0)))
+    """Sample deviation of the last ``window`` log returns; not annualised.
+
+    Bars of valid ticks have closes above 0; others are passed over.
+    """
+    rows = blocked(bars.select("symbol", "bar_time", "close").where("close > 0 and not isnan(close)"), window)
+    rows = rows.withColumn("log_return", F.ln(ratio(F.col("close"), F.lag("close").over(in_block())))).where("log_return is not null")
+    rows = rows.withColumn("realized_vol", F.stddev_samp("log_return").over(in_block().rowsBetween(-(window - 1), 0)))
+    return rows.where("_own").select("symbol", "bar_time", "close", "log_return", "realized_vol")
 
 
 def absorption_candidates(bars: DataFrame, volume_quantile: float = 0.9, rows: int = 43_200, block: int = BLOCK) -> DataFrame:
@@ -82,18 +63,13 @@ def absorption_candidates(bars: DataFrame, volume_quantile: float = 0.9, rows: i
     Exact rolling quantiles, in blocks: each block gets the bars that its
     windows reach back to, so blocks are independent of each other.
     """
-    size = max(block, rows)
-    series = _numbered(bars.select("symbol", "bar_time", "close", "volume", (F.col("high") - F.col("low")).alias("bar_range")))
-    own = F.floor(F.col("_n") / size)
-    # a bar serves its own block and, within reach, the next one
-    series = series.withColumn("_block", F.explode(F.array(own, own + 1))).where(F.col("_n") >= F.col("_block") * size - rows)
+    series = blocked(bars.select("symbol", "bar_time", "close", "volume", (F.col("high") - F.col("low")).alias("bar_range")), rows, block)
 
     def f(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("_n")
         high = p["volume"].rolling(rows + 1, min_periods=1).quantile(volume_quantile)
         half = p["bar_range"].rolling(rows + 1, min_periods=1).quantile(0.5)
-        hit = (p["volume"] >= high) & (p["bar_range"] <= half) & (p["_n"] >= p["_block"] * size)
-        out = p[hit][["symbol", "bar_time", "close", "volume", "bar_range"]].copy()
+        out = p.loc[(p["volume"] >= high) & (p["bar_range"] <= half) & p["_own"], ["symbol", "bar_time", "close", "volume", "bar_range"]].copy()
         out["absorption_candidate"] = True
         return out
 

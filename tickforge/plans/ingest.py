@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 import shutil
 import time
+import uuid
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -19,7 +21,9 @@ from tickforge.plans import warehouse as W
 from tickforge.plans.ledger import CHECKPOINTS, Ledger
 from tickforge.plans.report import write_report
 from tickforge.sources.archives import read_archives
-from tickforge.sources.layout import InboxFile, Verification, scan_inbox, verify
+from tickforge.sources.layout import Archive, Verification, scan_inbox, verify
+
+log = logging.getLogger("tickforge")
 
 
 @dataclass(frozen=True)
@@ -36,16 +40,19 @@ def reached(row: dict, checkpoint: str) -> bool:
 
 def verified_source(ledger: Ledger, path: Path, deep: bool = True) -> Verification:
     """What verification found, from the ledger where the file is unchanged and was checked as deep."""
-    if (known := ledger.source(path, deep)) and known["status"] == "ok":
-        return Verification(known["status"], known["sha256"], None if known["checksum_matched"] is None else bool(known["checksum_matched"]), known["detail"])
+    if (known := ledger.source(path, deep)) and (found := Verification(*known)).status == "ok":
+        return found
     found = verify(path, deep)
     ledger.put_source(path, deep, found)
     return found
 
 
 def done_paths(config: Config, ledger: Ledger) -> list[str]:
-    """Tick folders of the symbol's months that are done and there."""
-    return [r["ticks_path"] for r in ledger.months(config.symbol, "done") if r["ticks_path"] and Path(r["ticks_path"]).exists()]
+    """Tick folders of the symbol's months that are done and there; a warning names those that are not there."""
+    rows = [r for r in ledger.months(config.symbol, "done") if r["ticks_path"]]
+    if lost := [r["year_month"] for r in rows if not Path(r["ticks_path"]).exists()]:
+        log.warning("%d months are done but their ticks are not there, so they are left out: %s", len(lost), ", ".join(lost))
+    return [r["ticks_path"] for r in rows if r["year_month"] not in lost]
 
 
 def verify_ticks(spark: SparkSession, path: str, row: dict) -> None:
@@ -58,29 +65,40 @@ def verify_ticks(spark: SparkSession, path: str, row: dict) -> None:
         raise VerificationFailedError(f"{path}: {n} rows, ids {low} to {high}; {row['rows_written']}, {row['min_trade_id']} to {row['max_trade_id']} were written")
 
 
-def _ingest(spark: SparkSession, config: Config, ledger: Ledger, file: InboxFile, sha256: str | None) -> None:
-    """Writes a month's ticks and its counters; the old folder goes only when the new one is whole."""
-    W.check_disk(config.warehouse, config.min_free_disk_gb)
-    month = file.year_month
-    source = read_archives(spark, [str(file.path)], config.symbol)
-    report = validation_report(source, jump=config.jump).first()
-    counters = report.asDict() if report else {"rows_seen": 0}
-    counters.pop("symbol", None)
-    target = W.month_folder(config, month)
-    staged = target.with_name(f".staged-{month}")
-    shutil.rmtree(staged, ignore_errors=True)
-    columns = schemas.TICKS.names
-    valid_ticks(source).select(*columns).sortWithinPartitions("trade_time_ns", "trade_id").write.option("compression", "zstd").parquet(str(staged))
-    n, low, high = spark.read.schema(schemas.TICKS).parquet(str(staged)).agg(F.count(F.lit(1)), F.min("trade_id"), F.max("trade_id")).first()
-    shutil.rmtree(target, ignore_errors=True)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    staged.rename(target)
+def _ingest(spark: SparkSession, config: Config, ledger: Ledger, file: Archive, sha256: str | None) -> None:
+    """Writes a month's ticks and its counters, with an eye on the disk.
+
+    The archive is parsed once, into raw Parquet; its checks and its ticks come
+    from there.  Ticks go to a folder of their own, which the ledger then points
+    at, so the month's ticks before stay whole until they are replaced.
+    """
+    key = (config.symbol, file.year_month)
+    before = ledger.month(*key)["ticks_path"]
+    folder = W.month_folder(config, file.year_month)
+    raw, target = folder / f".raw-{uuid.uuid4().hex}", folder / f"v-{uuid.uuid4().hex}"
+    try:
+        with W.disk_guard(spark, config.warehouse, config.min_free_disk_gb):
+            read_archives(spark, [str(file.path)], config.symbol).write.option("compression", "zstd").parquet(str(raw))
+            source = spark.read.parquet(str(raw))
+            report = validation_report(source, jump=config.jump).first()
+            counters = report.asDict() if report else {"rows_seen": 0}
+            counters = {k: v for k, v in counters.items() if k not in ("symbol", "source_file")}
+            ticks = valid_ticks(source).select(*schemas.TICKS.names).sortWithinPartitions("trade_time_ns", "trade_id")
+            ticks.write.option("compression", "zstd").option("parquet.block.row.count.limit", config.row_group_rows).parquet(str(target))
+        n, low, high = spark.read.schema(schemas.TICKS).parquet(str(target)).agg(F.count(F.lit(1)), F.min("trade_id"), F.max("trade_id")).first()
+    except BaseException:
+        shutil.rmtree(target, ignore_errors=True)
+        raise
+    finally:
+        shutil.rmtree(raw, ignore_errors=True)
     counters |= {"rows_written": n, "rows_rejected": counters["rows_seen"] - n, "min_trade_id": low, "max_trade_id": high}
-    ledger.update(config.symbol, month, checkpoint="ticks_written", ticks_path=str(target), verification_status=None, source_sha256=sha256, **counters)
+    ledger.update(*key, checkpoint="ticks_written", ticks_path=str(target), verification_status=None, source_sha256=sha256, **counters)
+    if before:
+        shutil.rmtree(before, ignore_errors=True)
 
 
-def process(spark: SparkSession, config: Config, ledger: Ledger, file: InboxFile, force: bool = False) -> MonthResult:
-    """Takes one month from its last checkpoint to the report; never raises."""
+def process(spark: SparkSession, config: Config, ledger: Ledger, file: Archive, force: bool = False) -> MonthResult:
+    """Takes one month from its last checkpoint to verified ticks; never raises."""
     began, month, key = time.time(), file.year_month, (config.symbol, file.year_month)
     row = ledger.begin(*key, str(file.path), file.format)
     if not force and row["checkpoint"] == "reported" and row["status"] == "done":
@@ -90,9 +108,19 @@ def process(spark: SparkSession, config: Config, ledger: Ledger, file: InboxFile
             found = verified_source(ledger, file.path)
             if found.status != "ok":
                 raise (WrongMarketError if found.status == "wrong_market" else CorruptedArchiveError)(f"{file.path.name}: {found.status} {found.detail}")
-            ledger.update(*key, status="in_progress", checkpoint="source_verified", error=None, schema_version=schemas.SCHEMA_VERSION, feature_version=schemas.FEATURE_VERSION, software_version=schemas.SOFTWARE_VERSION)
+            versions = {"schema_version": schemas.SCHEMA_VERSION, "feature_version": schemas.FEATURE_VERSION, "software_version": schemas.SOFTWARE_VERSION}
+            ledger.update(*key, status="in_progress", checkpoint="source_verified", error=None, checksum_matched=found.checksum_matched, **versions)
             _ingest(spark, config, ledger, file, found.sha256)
-        finish(spark, config, ledger, month, began)
+            row = ledger.month(*key)
+        if row["verification_status"] != "verified":
+            try:
+                verify_ticks(spark, row["ticks_path"], row)
+            except VerificationFailedError:
+                # the ticks are no good: the next run starts from the source again
+                ledger.update(*key, verification_status="verification_failed", checkpoint="source_verified")
+                raise
+            ledger.update(*key, checkpoint="ticks_verified", verification_status="verified")
+        ledger.update(*key, status="done", elapsed_s=time.time() - began)
     except DiskSpaceGuardError as e:
         ledger.update(*key, status="paused_low_disk", error=str(e))
         return MonthResult(month, "paused_low_disk", str(e))
@@ -102,50 +130,40 @@ def process(spark: SparkSession, config: Config, ledger: Ledger, file: InboxFile
     return MonthResult(month, "done")
 
 
-def finish(spark: SparkSession, config: Config, ledger: Ledger, month: str, began: float) -> None:
-    """From written ticks to the report."""
-    key = (config.symbol, month)
-    row = ledger.month(*key)
-    if row["verification_status"] != "verified":
-        try:
-            verify_ticks(spark, row["ticks_path"], row)
-        except VerificationFailedError:
-            # the ticks are no good: the next run starts from the source again
-            ledger.update(*key, verification_status="verification_failed", checkpoint="source_verified")
-            raise
-        ledger.update(*key, status="done", checkpoint="ticks_verified", verification_status="verified")
-    ledger.update(*key, status="done")
-    if not reached(ledger.month(*key), "features_generated"):
-        W.rebuild(spark, config, done_paths(config, ledger))
-        ledger.update(*key, checkpoint="features_generated")
-    ledger.update(*key, elapsed_s=time.time() - began)
-    write_report(config, ledger, month)
-    ledger.update(*key, checkpoint="reported", error=None)
-
-
-def resume(spark: SparkSession, config: Config, ledger: Ledger) -> list[MonthResult]:
-    """Months whose ticks are verified but that are not reported, with or without their source."""
+def finish(spark: SparkSession, config: Config, ledger: Ledger) -> list[MonthResult]:
+    """Bars and features once for all months whose ticks are verified but that are not reported, then their reports."""
+    rows = [r for r in ledger.months(config.symbol) if r["verification_status"] == "verified" and r["checkpoint"] in ("ticks_verified", "features_generated")]
     out = []
-    for row in ledger.months(config.symbol):
-        if row["verification_status"] == "verified" and row["checkpoint"] in ("ticks_verified", "features_generated"):
-            try:
-                finish(spark, config, ledger, row["year_month"], time.time())
-                out.append(MonthResult(row["year_month"], "done", "resumed"))
-            except Exception as e:  # noqa: BLE001
-                ledger.update(config.symbol, row["year_month"], status="failed", error=str(e)[:2000])
-                out.append(MonthResult(row["year_month"], "failed", str(e)[:300]))
+    try:
+        if any(r["checkpoint"] == "ticks_verified" for r in rows):
+            for r in rows:
+                ledger.update(config.symbol, r["year_month"], status="done")
+            W.rebuild(spark, config, done_paths(config, ledger))
+        for r in rows:
+            key = (config.symbol, r["year_month"])
+            ledger.update(*key, status="done", checkpoint="features_generated")
+            write_report(config, ledger, r["year_month"])
+            ledger.update(*key, checkpoint="reported", error=None)
+            out.append(MonthResult(r["year_month"], "done", "resumed"))
+    except Exception as e:  # noqa: BLE001  the months keep their checkpoints, so the next run takes them up here
+        for r in rows[len(out) :]:
+            ledger.update(config.symbol, r["year_month"], status="failed", error=str(e)[:2000])
+            out.append(MonthResult(r["year_month"], "failed", str(e)[:300]))
     return out
 
 
 def run(spark: SparkSession, config: Config, force: bool = False) -> list[MonthResult]:
+    """Ingests the inbox month by month, then rebuilds the derived tables once and reports; months that a run before left over are finished too."""
     ledger = Ledger(config.ledger)
     try:
-        out = resume(spark, config, ledger)
+        out: dict[str, MonthResult] = {}
         for file in sorted(scan_inbox(config.inbox, config.symbol), key=lambda f: f.year_month):
-            out.append(process(spark, config, ledger, file, force))
-            if out[-1].status == "paused_low_disk":
+            out[file.year_month] = process(spark, config, ledger, file, force)
+            if out[file.year_month].status == "paused_low_disk":
                 break
-        return out
+        for r in finish(spark, config, ledger):
+            out[r.year_month] = r if r.status != "done" or r.year_month not in out else out[r.year_month]
+        return [out[m] for m in sorted(out)]
     finally:
         ledger.close()
 

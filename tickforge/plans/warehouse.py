@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import json
 import shutil
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,25 +33,65 @@ def check_disk(folder: Path, least_gb: float) -> None:
         raise DiskSpaceGuardError(f"{free:.1f} GB free at {folder}, {least_gb} asked for")
 
 
+@contextmanager
+def disk_guard(spark: SparkSession, folder: Path, least_gb: float, every_s: float = 1.0) -> Iterator[None]:
+    """Looks at the free disk before the jobs inside and while they run; too little cancels them and raises."""
+    check_disk(folder, least_gb)
+    tag, done, found = f"guard-{uuid.uuid4().hex}", threading.Event(), []
+
+    def watch() -> None:
+        while not done.wait(every_s):
+            try:
+                check_disk(folder, least_gb)
+            except DiskSpaceGuardError as e:
+                found.append(e)
+                spark.sparkContext.cancelJobsWithTag(tag)
+                return
+
+    spark.sparkContext.addJobTag(tag)
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        yield
+    except Exception as e:
+        if found:
+            raise found[0] from e
+        raise
+    finally:
+        done.set()
+        watcher.join()
+        spark.sparkContext.removeJobTag(tag)
+    if found:
+        raise found[0]
+
+
 def size_of(folder: Path) -> int:
     return sum(p.stat().st_size for p in Path(folder).rglob("*") if p.is_file())
 
 
 def publish(df: DataFrame, folder: Path, partition_by: tuple[str, ...] = ("symbol",), sort: tuple[str, ...] = ()) -> str:
-    """Writes a version of a table and makes it the current one; returns its path."""
+    """Writes a version of a table, in the order of sort, and makes it the current one; returns its path.
+
+    The version before stays for its readers until the next one is written.
+    """
     version = f"v-{uuid.uuid4().hex}"
-    out = df.sortWithinPartitions(*sort) if sort else df
+    out = df.sortWithinPartitions(*partition_by, *sort) if sort else df
     out.write.partitionBy(*partition_by).option("compression", "zstd").parquet(str(folder / version))
     pointer = folder / "current.json"
-    before = json.loads(pointer.read_text())["version"] if pointer.exists() else None
+    known = json.loads(pointer.read_text()) if pointer.exists() else {}
     staged = folder / f".{version}.json"
-    staged.write_text(json.dumps({"version": version}))
+    staged.write_text(json.dumps({"version": version, "before": known.get("version")}))
     staged.replace(pointer)
-    if before:
-        shutil.rmtree(folder / before, ignore_errors=True)
+    if known.get("before"):
+        shutil.rmtree(folder / known["before"], ignore_errors=True)
     return str(folder / version)
 
 
+def table_order(df: DataFrame) -> tuple[str, ...]:
+    """The columns that a derived table is sorted by: those of time, price and id that it has."""
+    return tuple(c for c in ("session", "bar_time", "step_time", "bucket_time", "trade_time_ns", "price_bin", "price", "trade_id") if c in df.columns)
+
+
 def current(spark: SparkSession, folder: Path) -> DataFrame | None:
     pointer = folder / "current.json"
     return spark.read.parquet(str(folder / json.loads(pointer.read_text())["version"])) if pointer.exists() else None
@@ -108,5 +151,5 @@ def rebuild(spark: SparkSession, config: Config, paths: list[str]) -> list[str]:
     bars = build_bars(spark, config, ticks)
     made = features(config, ticks, bars)
     for name, df in made.items():
-        publish(df, config.warehouse / "features" / name)
+        publish(df, config.warehouse / "features" / name, sort=table_order(df))
     return [*(f"bars_{i}" for i in bars), *made]

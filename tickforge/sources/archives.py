@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from tickforge.errors import CorruptedArchiveError
 from tickforge.functions.scalar import raw_to_ns
 from tickforge.schemas import TICKS
-from tickforge.sources.layout import check_layout, first_lines, open_csv
+from tickforge.sources.layout import Head, open_csv
 
 _NAMES = ["trade_id", "price", "qty", "quote_qty", "trade_time_raw", "is_buyer_maker"]
 _TYPES = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_()]
@@ -41,7 +41,7 @@ class _Reader(DataSourceReader):
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
         path = Path(partition.path)
         with open_csv(path) as f:
-            header = check_layout(first_lines(f), path.name)
+            header = Head.of(f).checked(path.name).header
         options = pacsv.ConvertOptions(column_types=dict(zip(_NAMES, _TYPES, strict=True)), true_values=["true", "True", "TRUE", "1"], false_values=["false", "False", "FALSE", "0"], null_values=["", "nan", "NaN", "NAN"], strings_can_be_null=True)
         at = 0
         try:
