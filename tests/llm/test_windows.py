@@ -95,10 +95,58 @@ def test_packed_arrays_and_slots(spark):
     for n in (0, 1, 500):
         docs = np.sort(r.integers(-(2**62), 2**62, n // 3 + 1))[r.integers(0, n // 3 + 1, n)]
         pos, h = r.integers(0, 9999, n).astype(np.int32), r.integers(0, 2**63, n).astype(np.uint64)
-        d, p, x, m = S.unpack(S.pack(docs, pos, h, h % np.uint64(2)))
+        d, p, x, m, _ = S.unpack(S.pack(docs, pos, h, h % np.uint64(2)))
         assert (d == docs).all() and (p == pos).all() and (x == h).all() and (m == h % 2).all()
     for n in (1, 7, 211):
         from pyspark.sql import functions as F
 
         k = spark.createDataFrame([(int(v),) for v in S.slots(n)], "v int").select(F.pmod(F.hash("v"), F.lit(n))).collect()
         assert [x[0] for x in k] == list(range(n))
+
+
+def test_columns_with_any_name(spark, make):
+    """Extra columns named like inner ones, with a dot, a backtick, or an underscore alone."""
+    texts = corpus(5, 20)
+    rows = [(k, t, 1, "d", "b", 2) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _ int, `a.b` string, `c``d` string, payload int")
+    got = substring_dedup.remove_repeats(spark, docs).orderBy("doc_id").collect()
+    assert [(r.text, r.n_words, r.n_removed) for r in got] == words_brute(texts, 20)
+    assert got[0]["rest"].asDict() == {"_": 1, "a.b": "d", "c`d": "b", "payload": 2}
+    assert suffix_dedup.remove_repeats(spark, docs).count() == len(texts)
+
+
+def test_several_shelves(spark, make, monkeypatch):
+    """More blocks than one bucketed table takes."""
+    texts = corpus(6, 40)
+    monkeypatch.setattr(S, "SHELF", 3)
+    monkeypatch.setattr(S, "text_partitions", lambda spark, docs: 8)
+    assert S.shelves(8) == [3, 3, 2] and len(set(S.slots(8).tolist())) == 8
+    got = substring_dedup.remove_repeats(spark, make(texts)).orderBy("doc_id").collect()
+    assert [(r.text, r.n_words, r.n_removed) for r in got] == words_brute(texts, 20)
+
+
+def test_no_table_is_left(spark, make):
+    substring_dedup.remove_repeats(spark, make(corpus(7, 10))).collect()
+    assert [t.name for t in spark.catalog.listTables()] == [t.name for t in spark.catalog.listTables() if not t.name.startswith("tickforge_")]
+
+
+def test_windows_of_one_hash_are_told_apart():
+    """Equal 64-bit hashes: the check decides."""
+    h, check = np.array([5, 5, 5, 7], np.uint64), np.array([1, 2, 1, 1], np.uint32)
+    docs, pos = np.array([4, 3, 2, 1]), np.zeros(4, np.int32)
+    order, again, new = repeats.repeated(docs, pos, h, check, None, True)
+    assert order[again].tolist() == [0] and new.sum() == 3
+    order, again, _ = repeats.repeated(docs, pos, h, check, None, False)
+    assert sorted(order[again].tolist()) == [0, 2]
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Conf:
+        get = staticmethod(lambda key, default: None)
+
+    class Session:
+        conf = Conf
+        sparkContext = type("C", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        S.shared_dir(Session)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tickforge.llm import scratch as S
 
+#: Parts of a node's neighbours.
+SALTS = 64
+
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
     """Each node's neighbours (larger ones, or smaller ones and itself) are tied to its smallest neighbour."""
@@ -14,8 +17,11 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
         near = pairs.select("u", "v").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         near = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    tied = near.join(least, "u")
+    # a node's neighbours are met in SALTS parts, so that a large star is no hot key
+    near = near.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = near.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"))
+    tied = near.join(parts.select("u", "salt").join(least, "u"), ["u", "salt"])
     out = tied.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")) if large else tied.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return out.where("u != v").distinct()
 

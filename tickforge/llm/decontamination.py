@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.scratch import settle
+from tickforge.llm.scratch import settle, with_rest
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Test items of up to so many bytes of text are broadcast; more are joined by a shuffle.
@@ -82,8 +82,7 @@ def exact_matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     its own text.  An empty benchmark hits nothing; an empty table gives an
     empty result.
     """
-    others = [docs[f"`{c}`"].alias(c) for c in docs.columns if c not in ("doc_id", "text")]
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others, F.lit(0).alias("_")).alias("rest"))
+    docs = with_rest(docs)
     broadcast = small(benchmark)
     known = items(benchmark, width)
     vocabulary = known.select(F.explode("words").alias("term")).distinct()

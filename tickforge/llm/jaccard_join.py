@@ -5,8 +5,9 @@ each document a prefix; two documents that link share an n-gram of both
 prefixes.  Documents without a shared prefix n-gram drop out; of the others
 all n-grams are compared, and those with too few shared ones drop out too.
 For the pairs that the lists of prefix n-grams then give, the order of hashes
-is cut into fragments; partial overlaps are counted fragment by fragment and
-summed per pair, and pairs that can no longer reach the threshold are left.
+is cut into fragments: each fragment of the sets goes to a task of its own,
+which counts the partial overlaps of the pairs there, and a second shuffle
+brings the partial counts together and sums them per pair.
 
 Links inside a group of near copies are far too many to list, and components
 don't need them.  So round one cuts each list into classes of like sizes and
@@ -23,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,9 @@ from tickforge.llm.textcore import LOWER_VALUES, SPACE, Rolling, Words, row_chun
 
 #: The order of hashes is cut into 2**FRAGMENT_BITS fragments.
 FRAGMENT_BITS = 3
+FRAGMENTS = 1 << FRAGMENT_BITS
+#: Kinds of packed rows: parts of sets, pairs, what pairs ask for, sizes of sets, partial counts.
+_SETS, _TWO, _ASKED, _SIZES, _PARTIAL = range(5)
 #: The n-grams that stand last in the order are found in a sample of about so many documents: those in HOT of them or more.
 SAMPLE, HOT = 8000, 6
 BATCH = 1 << 20
@@ -228,7 +233,7 @@ def paired(groups: int, stars: bool, percent: int) -> Callable:
                 if kind:
                     yield repeats.as_batch([(kind, g, raw)])
                     continue
-                docs, size, h, _ = S.unpack(raw[: len(raw)] if stars else raw[: _body(raw)])
+                docs, size, h = S.unpack(raw if stars else raw[: _body(raw)])[:3]
                 parts.append((h, docs, size, np.zeros(len(h), np.int64) if stars else np.frombuffer(raw[_body(raw) :], np.int64)))
         if parts:
             h, docs, size, label = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -258,9 +263,10 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     component.  Rows that repeat a doc_id count as one document.  An empty
     table gives an empty result.
     """
-    texts, blocks = repeats.store(spark, docs)
-    hot, weight = frequent(texts, n, texts.count())
-    width = S.partitions(spark)
+    texts = repeats.store(spark, docs)
+    blocks, rows = texts.blocks, texts.rows()
+    hot, weight = frequent(rows, n, rows.count())
+    width = S.reducers(spark, blocks)
 
     def first_prefixes(batches):
         out = repeats.Sender(width, blocks, False)
@@ -273,7 +279,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
                 yield from out.add(repeats.block_of(d[known], blocks), d[known], at[known].astype(np.int32), h[known])
         yield from out.flush()
 
-    seen = S.settle(spark, repeats.sent(texts.select("doc_id", "text"), first_prefixes, width, blocks, False), "seen")
+    seen = S.settle(spark, repeats.sent(rows.select("doc_id", "text"), first_prefixes, width, blocks, False), "seen")
     S.release(spark)
 
     def whole_sets(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -285,7 +291,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
         made += out.flush()
         return pa.Table.from_batches(made or [repeats.as_batch([])])
 
-    sends = texts.select("block", "doc_id", "text").groupBy("block").cogroup(seen.groupBy("block")).applyInArrow(whole_sets, _PAIRS)
+    sends = texts.beside(seen, whole_sets, _PAIRS, "doc_id", "text")
     shared = S.settle(spark, sends.repartitionById(width, F.col("bucket") % width).mapInArrow(repeats.settle_bucket(blocks, False), "block int, payload binary"), "shared")
     S.release(spark)
 
@@ -324,7 +330,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
         return f
 
     def linked(flags: DataFrame, stars: bool, name: str) -> DataFrame:
-        sent = texts.select("block", "doc_id", "text").groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(lists(stars), _PAIRS)
+        sent = texts.beside(flags, lists(stars), _PAIRS, "doc_id", "text")
         pairs = gathered(spark, sent.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(width, stars, percent), _PAIRS), width, blocks, name)
         return overlaps(spark, texts, pairs, n, percent)
 
@@ -334,7 +340,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     if not more.isEmpty():
         label = S.settle(spark, components(spark, label.select(F.col("u").alias("a"), F.col("component").alias("b")).unionByName(more)), "label")
     S.release(spark)
-    out = count_sets(texts, n).join(label.withColumnRenamed("u", "doc_id"), "doc_id", "left")
+    out = count_sets(rows, n).join(label.withColumnRenamed("u", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
@@ -393,8 +399,8 @@ def gathered(spark: SparkSession, found: DataFrame, width: int, blocks: int, nam
     return out
 
 
-def segments(texts: DataFrame, pairs: DataFrame, n: int, f: Callable) -> DataFrame:
-    """Packed parts of the sets that pairs ask for, by f(group) -> [(bucket, take)]; take(hashes) says which belong there."""
+def segments(texts: repeats.Texts, pairs: DataFrame, n: int) -> DataFrame:
+    """The sets that pairs ask for, cut into fragments: parts by (group, fragment), and the sets' sizes with the first."""
 
     def made_of(left: pa.Table, right: pa.Table) -> pa.Table:
         made = []
@@ -415,14 +421,17 @@ def segments(texts: DataFrame, pairs: DataFrame, n: int, f: Callable) -> DataFra
                 r, g = back[own] - a, group[own]
                 order = np.argsort(g, kind="stable")
                 r, g = r[order], g[order]
-                for k in np.unique(g):
+                for k in np.unique(g).tolist():
                     rs = r[np.searchsorted(g, k) : np.searchsorted(g, k, side="right")]
                     w, i = S.ranges(first[rs], first[rs + 1])
-                    made += [(0, *x) for x in f(int(k), ids[a:e][rs], size[rs], w, h[i])]
+                    d, x = ids[a:e][rs], h[i]
+                    made.append((_SIZES, k * FRAGMENTS, d.tobytes() + size[rs].astype(np.int64).tobytes()))
+                    for f, at in S.split_by((x >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64), FRAGMENTS):
+                        made.append((_SETS, k * FRAGMENTS + f, S.pack(d[w[at]], np.zeros(len(at), np.int32), x[at])))
         return pa.Table.from_batches([repeats.as_batch(made)])
 
-    wanted = pairs.where("kind = 2").select(F.col("bucket").alias("block"), "payload")
-    return texts.select("block", "doc_id", "text").groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(made_of, _PAIRS)
+    wanted = pairs.where(F.col("kind") == _ASKED).select(F.col("bucket").alias("block"), "payload")
+    return texts.beside(wanted, made_of, _PAIRS, "doc_id", "text")
 
 
 def common(a: np.ndarray, b: np.ndarray, docs: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -441,19 +450,6 @@ def common(a: np.ndarray, b: np.ndarray, docs: np.ndarray, h: np.ndarray) -> np.
     return o
 
 
-def sets_and_pairs(t: pa.Table, hash_type) -> tuple[np.ndarray, ...]:
-    """(a, b, docs, sizes, hashes) of a group; pairs by a, sets by document and hash."""
-    kinds, raws = t["kind"].to_pylist(), t["payload"].to_pylist()
-    a, b = read_pairs([r for k, r in zip(kinds, raws, strict=True) if k == 1])
-    have = [S.unpack(r, hash_type)[:3] for k, r in zip(kinds, raws, strict=True) if k == 0]
-    if not have or not len(a):
-        z = np.zeros(0, np.int64)
-        return z, z, z, z, np.zeros(0, hash_type)
-    docs, size, h = (np.concatenate(x) for x in zip(*have, strict=True))
-    order = np.lexsort((h, docs))
-    return a, b, docs[order], size[order].astype(np.int64), h[order]
-
-
 def of_first(docs: np.ndarray, values: np.ndarray, which: np.ndarray) -> np.ndarray:
     """Value at each document's first entry; 0 for documents that have none."""
     at = np.searchsorted(docs, which)
@@ -461,30 +457,39 @@ def of_first(docs: np.ndarray, values: np.ndarray, which: np.ndarray) -> np.ndar
     return np.where(there & (at < len(docs)), np.append(values, 0)[at], 0)
 
 
-def overlaps(spark: SparkSession, texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: the overlaps of each fragment are counted apart and summed per pair; a pair that can no longer reach the threshold is not counted further."""
-
-    def whole(g, ids, size, w, h):
-        yield g, S.pack(ids[w], size[w].astype(np.int32), h)
+def overlaps(spark: SparkSession, texts: repeats.Texts, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: partial overlaps are counted by (group of pairs, fragment), then summed per pair."""
 
     def counted(t: pa.Table) -> pa.Table:
-        a, b, docs, size, h = sets_and_pairs(t, np.uint64)
-        na, nb = of_first(docs, size, a), of_first(docs, size, b)
+        kinds, raws = t["kind"].to_pylist(), t["payload"].to_pylist()
+        of = lambda kind: [r for k, r in zip(kinds, raws, strict=True) if k == kind]
+        a, b = read_pairs(of(_TWO))
+        group, fragment = divmod(t["bucket"][0].as_py(), FRAGMENTS)
+        out = []
+        if len(a) and (have := [S.unpack(r)[::2][:2] for r in of(_SETS)]):
+            docs, h = (np.concatenate(x) for x in zip(*have, strict=True))
+            order = np.lexsort((h, docs))
+            partial = S._planes(common(a, b, docs[order], h[order]).astype(np.int32))
+            out.append((_PARTIAL, group, zstandard.ZstdCompressor(level=1).compress(partial)))
+        if not fragment:
+            out += [(_TWO, group, a.tobytes() + b.tobytes()), *((_SIZES, group, r) for r in of(_SIZES))]
+        return pa.Table.from_batches([repeats.as_batch(out)])
+
+    def summed(t: pa.Table) -> pa.Table:
+        kinds, raws = t["kind"].to_pylist(), t["payload"].to_pylist()
+        of = lambda kind: [r for k, r in zip(kinds, raws, strict=True) if k == kind]
+        a, b = read_pairs(of(_TWO))
+        docs, size = np.concatenate([np.frombuffer(r, np.int64).reshape(2, -1) for r in of(_SIZES)] or [np.zeros((2, 0), np.int64)], axis=1)
+        order = np.argsort(docs)
+        docs, size = docs[order], size[order]
         o = np.zeros(len(a), np.int64)
-        left_a, left_b = na.copy(), nb.copy()
-        fragment = (h >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64)
-        for f in range(1 << FRAGMENT_BITS) if len(a) else ():
-            m = fragment == f
-            own = docs[m]
-            o += common(a, b, own, h[m])
-            left_a -= np.searchsorted(own, a, side="right") - np.searchsorted(own, a)
-            left_b -= np.searchsorted(own, b, side="right") - np.searchsorted(own, b)
-            most = o + np.minimum(left_a, left_b)
-            ok = 100 * most >= percent * (na + nb - most)
-            a, b, na, nb, o, left_a, left_b = (x[ok] for x in (a, b, na, nb, o, left_a, left_b))
-        return pa.table({"a": a, "b": b})
-
-    parts = segments(texts, pairs, n, whole)
-    out = S.settle(spark, parts.unionByName(pairs.where("kind = 1")).groupBy("bucket").applyInArrow(counted, "a long, b long"), "linked")
+        for r in of(_PARTIAL):
+            o += S._from_planes(zstandard.ZstdDecompressor().decompress(r), np.int32, len(a))
+        ok = 100 * o >= percent * (of_first(docs, size, a) + of_first(docs, size, b) - o)
+        return pa.table({"a": a[ok], "b": b[ok]})
+
+    everywhere = pairs.where(F.col("kind") == _TWO).select("kind", F.explode(F.sequence(F.col("bucket") * FRAGMENTS, (F.col("bucket") + 1) * FRAGMENTS - 1)).alias("bucket"), "payload")
+    partial = segments(texts, pairs, n).unionByName(everywhere).groupBy("bucket").applyInArrow(counted, _PAIRS)
+    out = S.settle(spark, partial.groupBy("bucket").applyInArrow(summed, "a long, b long"), "linked")
     S.release(spark)
     return out

@@ -12,6 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from tickforge.llm import scratch as S
 from tickforge.llm.textcore import U64
@@ -184,4 +185,4 @@ def identify(spark: SparkSession, docs: DataFrame, per_language: int = 500) -> D
             labels, scores = model.predict(b["text"].to_pylist())
             yield b.append_column("lang_pred", pa.array(labels, pa.string())).append_column("score", pa.array(scores, pa.float64()))
 
-    return docs.mapInArrow(f, f"{docs._jdf.schema().toDDL()}, lang_pred string, score double")
+    return docs.mapInArrow(f, S.more_fields(docs.schema, lang_pred=StringType(), score=DoubleType()))

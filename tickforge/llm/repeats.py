@@ -15,6 +15,9 @@ Three passes over the texts, which are stored once, bucketed by document:
    shuffle is small) and compared;
 3. the repeated windows go back to their documents.
 
+Windows are equal where 96 bits of two independent hashes of them are; anchors,
+which only narrow the search, go by 64.
+
 Hot keys: each map task first settles what repeats inside its own data and
 sends one entry per hash, so a passage in a third of all documents costs a
 reducer one entry per map batch.  No pair of documents is ever emitted.
@@ -25,14 +28,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegerType, StructType
 
 from tickforge.llm import scratch as S
-from tickforge.llm.textcore import BYTE_VALUES, Rolling, Words, mix, row_chunks
+from tickforge.llm.textcore import BYTE_VALUES, CHECK_BASE, Rolling, Words, mix, row_chunks
 
 #: Entries a task gathers before it sends them.
 BATCH = 1 << 20
@@ -64,11 +69,11 @@ class Symbols:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, spec: Windows):
         if spec.unit == "byte":
-            self.first, self.roll = offsets, Rolling(BYTE_VALUES[data])
-            self.words = None
+            self.words, self.first, self.symbols = None, offsets, BYTE_VALUES[data]
         else:
             self.words = Words(data, offsets)
-            self.first, self.roll = self.words.first, Rolling(self.words.hashes)
+            self.first, self.symbols = self.words.first, self.words.hashes
+        self.roll = Rolling(self.symbols)
         self.counts = np.diff(self.first)
 
     def anchors(self, spec: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,8 +93,8 @@ class Symbols:
         edge = np.bincount(base + lo, minlength=n + 1) - np.bincount(base + hi, minlength=n + 1)
         return np.cumsum(edge[:n]) > 0
 
-    def windows(self, spec: Windows, rows: np.ndarray, pos: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, position, hash) of the windows that hold an anchor at (rows, pos) and whose hash is in range ``which`` of spec.rounds."""
+    def windows(self, spec: Windows, rows: np.ndarray, pos: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, position, hash, check) of the windows that hold an anchor at (rows, pos) and whose hash is in range ``which`` of spec.rounds."""
         last = self.counts[rows] - spec.length + 1
         hi = np.minimum(pos.astype(np.int64) + 1, last)
         lo = np.minimum(np.maximum(0, pos.astype(np.int64) - (spec.length - spec.anchor)), hi)
@@ -100,22 +105,30 @@ class Symbols:
             own = (h >> np.uint64(20)) % np.uint64(spec.rounds) == which
             at, h = at[own], h[own]
         row = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)[at]
-        return row, (at - self.first[:-1][row]).astype(np.int32), h
+        check = (Rolling(self.symbols, CHECK_BASE)(at, at + spec.length) >> np.uint64(32)).astype(np.uint32)
+        return row, (at - self.first[:-1][row]).astype(np.int32), h, check
 
 
-def repeated(docs: np.ndarray, pos: np.ndarray, hashes: np.ndarray, many: np.ndarray | None, later_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, entry is a repeat, entry is the first of its hash), in an order by hash, with the least start first where later_only.  many: entry stands for further starts."""
+def repeated(docs: np.ndarray, pos: np.ndarray, hashes: np.ndarray, check: np.ndarray | None, many: np.ndarray | None, later_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, entry is a repeat, entry is the first of its hash), in an order by hash and check, with the least start first where later_only.  many: entry stands for further starts."""
     order = np.argsort(hashes)
     h = hashes[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
+    if check is not None and len(h):
+        c = check[order]
+        if (~new[1:] & (c[1:] != c[:-1])).any():
+            # different windows of one hash
+            order = np.lexsort((check, hashes))
+            h, c = hashes[order], check[order]
+            new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
     start = np.flatnonzero(new)
     size = np.diff(np.append(start, len(h)))
     if later_only:
         # only entries that share a hash need an order among themselves
         shared = np.flatnonzero(np.repeat(size > 1, size))
         own = order[shared]
-        order[shared] = own[np.lexsort((pos[own], docs[own], hashes[own]))]
+        order[shared] = own[np.lexsort((pos[own], docs[own], *([] if check is None else [check[own]]), hashes[own]))]
     d, p = docs[order], pos[order]
     first = np.repeat(start, size)
     other = (d != d[first]) | (p != p[first])
@@ -135,16 +148,17 @@ class Sender:
     def __init__(self, buckets: int, blocks: int, later_only: bool):
         self.n, self.blocks, self.later_only, self.held, self.size = buckets, blocks, later_only, [], 0
 
-    def add(self, block: np.ndarray, docs: np.ndarray, pos: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append((block, docs, pos, hashes))
+    def add(self, block: np.ndarray, docs: np.ndarray, pos: np.ndarray, hashes: np.ndarray, check: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        self.held.append((block, docs, pos, hashes, *([] if check is None else [check])))
         self.size += len(docs)
         if self.size >= BATCH:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.size:
-            block, docs, pos, hashes = (np.concatenate(x) for x in zip(*self.held, strict=True))
-            order, again, new = repeated(docs, pos, hashes, None, self.later_only)
+            block, docs, pos, hashes, *more = (np.concatenate(x) for x in zip(*self.held, strict=True))
+            check = more[0] if more else None
+            order, again, new = repeated(docs, pos, hashes, check, None, self.later_only)
             rows = []
             keep = np.sort(order[new])
             many = np.zeros(len(docs), bool)
@@ -152,7 +166,7 @@ class Sender:
             settled = np.flatnonzero(many)
             for b, i in S.split_by((hashes[keep] >> np.uint64(32)) % np.uint64(self.n), self.n):
                 i = keep[i]
-                rows.append((0, b, S.pack(docs[i], pos[i], hashes[i], many[i])))
+                rows.append((0, b, S.pack(docs[i], pos[i], hashes[i], many[i], None if check is None else check[i])))
             for b, i in S.split_by(block[settled], self.blocks):
                 i = settled[i]
                 rows.append((1, b, S.pack(docs[i], pos[i])))
@@ -179,9 +193,10 @@ def settle_bucket(blocks: int, later_only: bool) -> Callable:
                 else:
                     parts.append((docs, pos, *more))
         if parts:
-            docs, pos, hashes, many = (np.concatenate(x) for x in zip(*parts, strict=True))
+            checked = parts[0][4] is not None
+            docs, pos, hashes, many, *more = (np.concatenate(x) for x in zip(*(p[: 4 + checked] for p in parts), strict=True))
             parts.clear()
-            order, again, _ = repeated(docs, pos, hashes, many, later_only)
+            order, again, _ = repeated(docs, pos, hashes, more[0] if checked else None, many, later_only)
             hit = order[again]
             hits.append((docs[hit], pos[hit]))
         if hits:
@@ -210,22 +225,51 @@ def flagged_rows(doc_ids: np.ndarray, payloads: list[bytes]) -> tuple[np.ndarray
     return which, pos[index]
 
 
-def store(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, int]:
-    """The texts by block, with their other columns as one struct, and the number of blocks: a bucketed table, so that each later pass leaves the texts in place."""
+class Texts:
+    """Documents by block, with their other columns as one struct, in bucketed tables (shelves), so that each later pass leaves the texts in place."""
+
+    def __init__(self, shelves: list[DataFrame], blocks: int):
+        self.shelves, self.blocks = shelves, blocks
+
+    def rows(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.shelves)
+
+    def beside(self, payloads: DataFrame, f: Callable, schema: StructType | str, *columns: str) -> DataFrame:
+        """f(documents, payloads) for each block, of the documents' columns named (all without any)."""
+        out = []
+        for k, texts in enumerate(self.shelves):
+            own = payloads if len(self.shelves) == 1 else payloads.where(F.col("block").between(k * S.SHELF_RANGE, (k + 1) * S.SHELF_RANGE - 1))
+            texts = texts.select("block", *columns) if columns else texts
+            out.append(texts.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(f, schema))
+        return reduce(DataFrame.unionByName, out)
+
+
+def store(spark: SparkSession, docs: DataFrame) -> Texts:
+    """Writes documents by block.  The tables' names are dropped at once: their files are what is read."""
     S.ship(spark)
-    n = S.text_partitions(spark, docs)
-    slot = S.slots(n)
+    blocks = S.text_partitions(spark, docs)
+    slot, sizes = S.slots(blocks), S.shelves(blocks)
 
     def f(batches):
         for b in batches:
-            yield b.append_column("block", pa.array(slot[block_of(S.ids(b["doc_id"]), n)], pa.int32()))
+            yield b.append_column("block", pa.array(slot[block_of(S.ids(b["doc_id"]), blocks)], pa.int32()))
 
-    name = f"tickforge_{uuid.uuid4().hex}"
     table = S.with_rest(docs)
-    table = table.mapInArrow(f, f"{table._jdf.schema().toDDL()}, block int")
-    table.repartition(n, "block").write.bucketBy(n, "block").option("compression", "zstd").option("path", f"{S.shared_dir(spark)}/{name}").format("parquet").saveAsTable(name)
+    table = table.mapInArrow(f, S.more_fields(table.schema, block=IntegerType()))
+    if len(sizes) > 1:
+        # one pass deals the texts to their shelves
+        folder, schema = f"{S.shared_dir(spark)}/shelves", table.schema
+        table.withColumn("shelf", F.floor(F.col("block") / S.SHELF_RANGE).cast("int")).write.partitionBy("shelf").option("compression", "zstd").parquet(folder)
+        whole = spark.read.schema(S.more_fields(schema, shelf=IntegerType())).parquet(folder)
+    shelves = []
+    for k, n in enumerate(sizes):
+        own = table if len(sizes) == 1 else whole.where(F.col("shelf") == k).drop("shelf")
+        name = f"tickforge_{uuid.uuid4().hex}"
+        own.repartition(n, "block").write.bucketBy(n, "block").option("compression", "zstd").option("path", f"{S.shared_dir(spark)}/{name}").format("parquet").saveAsTable(name)
+        shelves.append(spark.table(name))
+        spark.sql(f"DROP TABLE {name}")
     S.release(spark)
-    return spark.table(name), n
+    return Texts(shelves, blocks)
 
 
 def sent(texts: DataFrame, f: Callable, n: int, blocks: int, later_only: bool) -> DataFrame:
@@ -233,10 +277,11 @@ def sent(texts: DataFrame, f: Callable, n: int, blocks: int, later_only: bool) -
     return texts.mapInArrow(f, Sender.SCHEMA).repartitionById(n, F.col("bucket") % n).mapInArrow(settle_bucket(blocks, later_only), "block int, payload binary")
 
 
-def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[DataFrame, DataFrame]:
+def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[Texts, DataFrame]:
     """(texts by block, packed starts of repeated windows by block), both stored in the shared folder."""
-    texts, blocks = store(spark, docs)
-    n = S.partitions(spark)
+    texts = store(spark, docs)
+    blocks = texts.blocks
+    n = S.reducers(spark, blocks)
 
     def anchors(batches):
         out = Sender(n, blocks, False)
@@ -248,7 +293,7 @@ def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[DataFrame
                 yield from out.add(block_of(d, blocks), d, pos, h)
         yield from out.flush()
 
-    found = S.settle(spark, sent(texts.select("doc_id", "text"), anchors, n, blocks, False), "anchors")
+    found = S.settle(spark, sent(texts.rows().select("doc_id", "text"), anchors, n, blocks, False), "anchors")
     S.release(spark)
 
     def extended(which: int):
@@ -258,9 +303,9 @@ def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[DataFrame
             rows, at = flagged_rows(docs_of, right["payload"].to_pylist())
             for a, e, data, off in row_chunks(left["text"]) if len(rows) else ():
                 lo, hi = np.searchsorted(rows, [a, e])
-                row, pos, h = Symbols(data, off, spec).windows(spec, rows[lo:hi] - a, at[lo:hi], which)
+                row, pos, h, check = Symbols(data, off, spec).windows(spec, rows[lo:hi] - a, at[lo:hi], which)
                 d = docs_of[a:e][row]
-                made += out.add(block_of(d, blocks), d, pos, h)
+                made += out.add(block_of(d, blocks), d, pos, h, check)
             made += out.flush()
             return pa.Table.from_batches(made or [as_batch([])])
 
@@ -268,14 +313,14 @@ def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[DataFrame
 
     starts = None
     for k in range(spec.rounds):
-        sends = texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(extended(k), Sender.SCHEMA)
+        sends = texts.beside(found, extended(k), Sender.SCHEMA, "doc_id", "text")
         part = S.settle(spark, sends.repartitionById(n, F.col("bucket") % n).mapInArrow(settle_bucket(blocks, spec.later_only), "block int, payload binary"), f"windows{k}")
         S.release(spark)
         starts = part if starts is None else starts.unionByName(part)
     return texts, starts
 
 
-def apply(texts: DataFrame, starts: DataFrame, spec: Windows, f: Callable[[Symbols, np.ndarray, np.ndarray, np.ndarray], dict], schema: str) -> DataFrame:
+def apply(texts: Texts, starts: DataFrame, spec: Windows, f: Callable[[Symbols, np.ndarray, np.ndarray, np.ndarray], dict], **columns: DataType) -> DataFrame:
     """doc_id, rest and the columns f(symbols, data, offsets, covered) makes of each run of documents."""
 
     def g(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -291,8 +336,8 @@ def apply(texts: DataFrame, starts: DataFrame, spec: Windows, f: Callable[[Symbo
             made.append(pa.table({"doc_id": left["doc_id"].slice(a, e - a), "rest": left["rest"].slice(a, e - a), **f(s, data, off, covered)}))
         return pa.concat_tables(made)
 
-    rest = texts.schema["rest"].dataType.simpleString()
-    return texts.groupBy("block").cogroup(starts.groupBy("block")).applyInArrow(g, f"doc_id long, rest {rest}, {schema}")
+    own = texts.shelves[0].schema
+    return texts.beside(starts, g, S.more_fields(StructType([own["doc_id"], own["rest"]]), **columns))
 
 
 def binary_column(data: np.ndarray, keep: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:

@@ -15,6 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: Rows of one Arrow batch: packed rows and long texts are large, and a batch is held whole on both sides.
 ARROW_ROWS = 1000
@@ -41,9 +42,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; the setting is made only where it is unset."""
+    """A new folder below spark.checkpoint.dir.
+
+    Where the setting is missing, a local session makes one of its own; on a
+    cluster there is no folder that all machines are known to share.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tickforge-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tickforge-{uuid.uuid4().hex}"
@@ -72,10 +79,30 @@ def text_only(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def named(column: str) -> str:
+    """A column's name as SQL takes it, whatever is in it."""
+    return f"`{column.replace('`', '``')}`"
+
+
+def rest_of(docs: DataFrame):
+    """The columns beside doc_id and text as a struct; one with the field _ where there is none."""
+    others = [docs[named(c)].alias(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return F.struct(*others or [F.lit(0).alias("_")]).alias("rest")
+
+
 def with_rest(docs: DataFrame) -> DataFrame:
     """doc_id, text and rest, a struct of the other columns, whatever their names."""
-    others = [docs[f"`{c}`"].alias(c) for c in docs.columns if c not in ("doc_id", "text")]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others, F.lit(0).alias("_")).alias("rest"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), rest_of(docs))
+
+
+def more_fields(schema: StructType, **kinds: DataType) -> StructType:
+    """The schema with further fields; a schema object, as names may hold what a DDL string cannot."""
+    return StructType([*schema.fields, *(StructField(n, k) for n, k in kinds.items())])
+
+
+def reducers(spark: SparkSession, blocks: int) -> int:
+    """Partitions of what is dealt out by hash: one for every two blocks of text at least, so that a task's share does not grow with the input."""
+    return max(partitions(spark), blocks // 2)
 
 
 def text_partitions(spark: SparkSession, docs: DataFrame, target: int = 16 << 20) -> int:
@@ -96,9 +123,13 @@ def _bucket(x: np.ndarray, n: int) -> np.ndarray:
     return (h.astype(np.uint32).view(np.int32).astype(np.int64)) % n
 
 
-def slots(n: int) -> np.ndarray:
-    """n ints, the k-th of which Spark's hash puts into bucket k of n: blocks of documents that fill the buckets evenly."""
-    out, at = np.full(n, -1, np.int64), 0
+#: Blocks that one bucketed table has at most (Spark refuses more than 100,000 buckets), and the range of their numbers.
+SHELF, SHELF_RANGE = 32_768, 1 << 22
+
+
+def shelf_slots(n: int, shelf: int = 0) -> np.ndarray:
+    """n ints of a shelf's range, the k-th of which Spark's hash puts into bucket k of n."""
+    out, at = np.full(n, -1, np.int64), shelf * SHELF_RANGE
     while (out < 0).any():
         x = np.arange(at, at + 16 * n + 64)
         b, first = np.unique(_bucket(x, n), return_index=True)
@@ -108,6 +139,16 @@ def slots(n: int) -> np.ndarray:
     return out.astype(np.int32)
 
 
+def shelves(blocks: int) -> list[int]:
+    """The number of blocks on each shelf."""
+    return [min(SHELF, blocks - a) for a in range(0, max(1, blocks), SHELF)]
+
+
+def slots(blocks: int) -> np.ndarray:
+    """The number that each block is stored under: blocks fill the buckets of their shelf's table evenly."""
+    return np.concatenate([shelf_slots(n, k) for k, n in enumerate(shelves(blocks))])
+
+
 # --- packed arrays ---------------------------------------------------------
 
 _MISSING = np.iinfo(np.int64).min
@@ -133,18 +174,19 @@ def _from_planes(raw: bytes, dtype, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(dtype).ravel()
 
 
-def pack(docs: np.ndarray, values: np.ndarray, hashes: np.ndarray | None = None, extra: np.ndarray | None = None) -> bytes:
-    """Arrays of equal length as bytes; docs and values (int32) are delta-coded and compressed."""
+def pack(docs: np.ndarray, values: np.ndarray, hashes: np.ndarray | None = None, extra: np.ndarray | None = None, check: np.ndarray | None = None) -> bytes:
+    """Arrays of equal length as bytes; docs and values (int32) are delta-coded and compressed.  check: further 32 bits of the hashes."""
     n = len(docs)
     step = np.diff(docs, prepend=np.int64(0))
     gap = np.where(step == 0, np.diff(values, prepend=np.int32(0)), values).astype(np.int32)
     body = _planes(step) + _planes(gap) + (extra.astype(np.uint8).tobytes() if extra is not None else b"")
     small = zstandard.ZstdCompressor(level=1).compress(body)
-    head = np.array([n, len(small), hashes is not None, extra is not None], np.int64).tobytes()
-    return head + small + (hashes.tobytes() if hashes is not None else b"")
+    head = np.array([n, len(small), (hashes is not None) + (check is not None), extra is not None], np.int64).tobytes()
+    return head + small + (hashes.tobytes() if hashes is not None else b"") + (check.tobytes() if check is not None else b"")
 
 
-def unpack(raw: bytes, hash_type=np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray | None]:
+def unpack(raw: bytes, hash_type=np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray | None, np.ndarray | None]:
+    """(docs, values, hashes, extra, check)"""
     n, size, hashed, more = np.frombuffer(raw, np.int64, 4)
     body = zstandard.ZstdDecompressor().decompress(raw[32 : 32 + size])
     step = _from_planes(body[: 8 * n], np.int64, n)
@@ -156,17 +198,18 @@ def unpack(raw: bytes, hash_type=np.uint64) -> tuple[np.ndarray, np.ndarray, np.
     start = np.flatnonzero(new)
     before = np.repeat(total[start] - gap[start], np.diff(np.append(start, n)))
     extra = np.frombuffer(body[12 * n : 13 * n], np.uint8) if more else None
-    hashes = np.frombuffer(raw[32 + size :], hash_type) if hashed else None
-    return docs, (total - before).astype(np.int32), hashes, extra
+    hashes = np.frombuffer(raw, hash_type, n, 32 + size) if hashed else None
+    check = np.frombuffer(raw, np.uint32, n, 32 + size + 8 * n) if hashed == 2 else None
+    return docs, (total - before).astype(np.int32), hashes, extra, check
 
 
 def split_by(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(key, indices) for keys 0..n-1, the order inside a key kept."""
+    """(key, indices) for each of the keys, which are below n, in order; the order inside a key is kept."""
     order = np.argsort(keys.astype(np.uint16 if n < 65536 else np.int64), kind="stable")
-    cuts = np.searchsorted(keys[order], np.arange(n + 1))
-    for k in range(n):
-        if cuts[k] < cuts[k + 1]:
-            yield k, order[cuts[k] : cuts[k + 1]]
+    own = keys[order]
+    cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(own)], strict=True) if len(own) else ():
+        yield int(own[a]), order[a:b]
 
 
 def ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

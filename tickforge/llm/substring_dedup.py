@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StringType
 
 from tickforge.llm import repeats
 
@@ -27,7 +28,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 20) -> Da
     """
     spec = repeats.Windows("word", window, PERIOD, COVER, later_only=True)
     texts, starts = repeats.find(spark, docs, spec)
-    return repeats.apply(texts, starts, spec, _kept, "text string, n_words long, n_removed long")
+    return repeats.apply(texts, starts, spec, _kept, text=StringType(), n_words=LongType(), n_removed=LongType())
 
 
 def _kept(s: repeats.Symbols, data: np.ndarray, off: np.ndarray, covered: np.ndarray) -> dict:

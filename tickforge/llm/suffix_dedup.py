@@ -16,6 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import BinaryType, LongType
 
 from tickforge.llm import repeats
 
@@ -41,7 +42,7 @@ def difference_set(q: int) -> tuple[int, tuple[int, ...]]:
 PERIOD, COVER = difference_set(17)
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, rounds: int = 3) -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, rounds: int = 4) -> DataFrame:
     """Removes every byte that a ``length``-byte string covers which also starts anywhere else.
 
     Texts are UTF-8 bytes; matches do not cross documents; strings are judged
@@ -57,7 +58,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, roun
     """
     spec = repeats.Windows("byte", length, PERIOD, COVER, later_only=False, rounds=rounds)
     texts, starts = repeats.find(spark, docs, spec)
-    return repeats.apply(texts, starts, spec, _kept, "kept binary, n_bytes long, n_removed long, n_spans long")
+    return repeats.apply(texts, starts, spec, _kept, kept=BinaryType(), n_bytes=LongType(), n_removed=LongType(), n_spans=LongType())
 
 
 def _kept(s: repeats.Symbols, data: np.ndarray, off: np.ndarray, covered: np.ndarray) -> dict:

@@ -17,7 +17,8 @@ import pyarrow as pa
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+#: A second base, for hashes that check the first ones.
+CHECK_BASE = 0xD1342543DE82EF95
 #: Bytes of text handled by one numpy pass; bounds the memory of a Python worker.
 CHUNK_BYTES = 1 << 20
 
@@ -55,16 +56,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Hashes of any slice of a sequence of 64-bit symbols."""
+    """Hashes of any slice of a sequence of 64-bit symbols; another base gives independent ones."""
 
-    def __init__(self, symbols: np.ndarray):
+    def __init__(self, symbols: np.ndarray, base: int = _BASE):
         n = len(symbols)
+        self.inverse = pow(base, -1, 1 << 64)
         self.prefix = np.zeros(n + 1, dtype=U64)
-        np.cumsum(symbols * powers(n), dtype=U64, out=self.prefix[1:])
+        np.cumsum(symbols * powers(n, base), dtype=U64, out=self.prefix[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of symbols[start:end] for each pair."""
-        inverse = powers(len(self.prefix), _BASE_INV)
+        inverse = powers(len(self.prefix), self.inverse)
         raw = (self.prefix[ends] - self.prefix[starts]) * inverse[starts]
         return mix(raw + (ends - starts).astype(U64) * U64(0x632BE59BD9B4E019))
 

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType
 
 from tickforge.llm import scratch as S
 from tickforge.llm.language_id import held_out
@@ -328,4 +329,4 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_class: in
                 p = model.scores(features([words(t) for t in b["text"].to_pylist()]))
                 yield b.append_column("score", pa.array(p.astype(np.float64))).append_column("predicted", pa.array((p >= 0.5).astype(np.int32)))
 
-    return docs.mapInArrow(f, f"{docs._jdf.schema().toDDL()}, score double, predicted int")
+    return docs.mapInArrow(f, S.more_fields(docs.schema, score=DoubleType(), predicted=IntegerType()))
