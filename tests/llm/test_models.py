@@ -81,40 +81,59 @@ def test_lm_counts_of_many_words_do_not_mix(spark, make):
     assert held[0] / held[1] > -8  # the share alone: -5
 
 
+def lm_vocabulary(words, states, counts):
+    """Vocabulary of words (bytes), each with a state and a count."""
+    cuts = np.cumsum([0, *map(len, words)])
+    data = np.frombuffer(b"".join(words), np.uint8)
+    hashes = [hash(w) & (2**63 - 1) for w in words]
+    return lm_scoring.Vocabulary.gather(np.array(hashes, np.uint64), np.array(states), np.array(counts), cuts[:-1], cuts[1:], data)
+
+
+def lm_words(v):
+    return [bytes(v.data[a:b]) for a, b in zip(v.cuts[:-1], v.cuts[1:], strict=True)]
+
+
+def lm_contexts(word, i, state):
+    """What each predictor sees before byte i of a word."""
+    return [(k, knows, state if knows else None, word[max(0, i - k) if k else 0 : i]) for k, knows in lm_scoring.ORDERS]
+
+
+def lm_counts(tokens):
+    """Of (word with what follows it, state, times): how often a context came before a byte with some first bits."""
+    out = Counter()
+    for w, state, times in tokens:
+        for i in range(len(w)):
+            for c in lm_contexts(w, i, state):
+                for j in range(9):
+                    out[c, j, w[i] >> (8 - j)] += times
+    return out
+
+
 def test_lm_path_counts(spark):
     """Against counts by brute force, over chunks that share contexts."""
     r = random.Random(4)
     words = sorted({"".join(r.choices("abé", k=r.randint(1, 8))).encode() for _ in range(200)})
-    cuts = np.cumsum([0, *map(len, words)])
-    v = lm_scoring.Vocabulary(np.arange(len(words), dtype=np.uint64), np.array([r.randint(0, 9) for _ in words]), cuts, np.frombuffer(b"".join(words), np.uint8))
+    v = lm_vocabulary(words, [r.randint(0, 2) for _ in words], [r.randint(0, 9) for _ in words])
     chunks = [v.take(np.arange(k, len(words), 3)) for k in range(3)]
-    rows = spark.createDataFrame([(k, bytearray(c.pack())) for k, c in enumerate(chunks)], "chunk long, payload binary")
-    want = Counter()
-    for w, n in zip(words, v.counts.tolist(), strict=True):
-        w += b" "
-        for i in range(len(w)):
-            for k in lm_scoring.ORDERS:
-                for j in range(9):
-                    want[k, w[max(0, i - k) if k else 0 : i], j, w[i] >> (8 - j)] += n
+    rows = spark.createDataFrame([(k, bytearray(c.pack()), bytearray(b"")) for k, c in enumerate(chunks)], "chunk long, payload binary, totals binary")
+    want = lm_counts([(w + b" ", s, n) for w, s, n in zip(lm_words(v), v.state.tolist(), v.counts.tolist(), strict=True)])
     got = lm_scoring.with_paths(rows, 5).collect()
     assert len(got) == 3
     for g in got:
         part = lm_scoring.Vocabulary.unpack(bytes(g.payload))
         coded = lm_scoring.Coded(part)
         seen = lm_scoring.Paths(coded, lm_scoring._unpack_paths(bytes(g.paths)), 5)
-        places = [(w + b" ", i) for w in (words[h] for h in part.hashes.astype(int)) for i in range(len(w) + 1)]
+        places = [(w + b" ", i, s) for w, s in zip(lm_words(part), part.state.tolist(), strict=True) for i in range(len(w) + 1)]
         for j in range(8):
             node, taken = seen(j)
-            for o, k in enumerate(lm_scoring.ORDERS):
-                context = [(k, w[max(0, i - k) if k else 0 : i]) for w, i in places]
-                assert node[o].tolist() == [want[*c, j, w[i] >> (8 - j)] for c, (w, i) in zip(context, places, strict=True)]
-                assert taken[o].tolist() == [want[*c, j + 1, w[i] >> (7 - j)] for c, (w, i) in zip(context, places, strict=True)]
+            for o in range(len(lm_scoring.ORDERS)):
+                assert node[o].tolist() == [want[lm_contexts(w, i, s)[o], j, w[i] >> (8 - j)] for w, i, s in places]
+                assert taken[o].tolist() == [want[lm_contexts(w, i, s)[o], j + 1, w[i] >> (7 - j)] for w, i, s in places]
 
 
 def test_lm_mixer_learns_from_all_occurrences(spark):
-    words = [b"the", b"of", b"rare", b"new"]
-    v = lm_scoring.Vocabulary(np.arange(4, dtype=np.uint64), np.array([900_000, 50_000, 1, 0]), np.cumsum([0, *map(len, words)]), np.frombuffer(b"".join(words), np.uint8))
-    rows = spark.createDataFrame([(k, bytearray(v.take(np.array([k])).pack())) for k in range(4)], "chunk long, payload binary")
+    v = lm_vocabulary([b"the", b"of", b"rare", b"new"], [0, 1, 0, 0], [900_000, 50_000, 1, 0])
+    rows = spark.createDataFrame([(k, bytearray(v.take(np.array([k])).pack()), bytearray(b"")) for k in range(4)], "chunk long, payload binary, totals binary")
     sums = lm_scoring.train(lm_scoring.with_paths(rows, 3), 3)
     decisions = 8 * (900_000 * 4 + 50_000 * 3 + 5)
     assert sums[-256 * 33 :].sum() == pytest.approx(decisions)
@@ -123,22 +142,90 @@ def test_lm_mixer_learns_from_all_occurrences(spark):
 
 def test_lm_is_a_distribution():
     """Probabilities of all next bytes sum to 1, so do those of all words."""
-    words = [b"ab", b"abc", b"b", b"abd"]
-    data = np.frombuffer(b"".join(words), np.uint8)
-    cuts = np.cumsum([0, *map(len, words)])
-    hashes = np.arange(4, dtype=np.uint64) + np.uint64(99)
-    v = lm_scoring.Vocabulary(hashes, np.array([50, 20, 5, 1]), cuts, data)
-    counts = np.zeros(lm_scoring._BASES[-1])
-    lm_scoring.context_counts(v, counts)
-    model = lm_scoring.train_mixer(counts, v.take(np.repeat(np.arange(4), [50, 20, 5, 1])))
-    every = [bytes([x]) for x in range(256)]
-    one = lm_scoring.Vocabulary(np.arange(256, dtype=np.uint64), np.zeros(256, np.int64), np.arange(257), np.frombuffer(b"".join(every), np.uint8))
-    coded = 10 ** model.costs(one)
-    assert coded.sum() < 1  # each is followed by a space
-    p = 10 ** model.costs(v)
-    assert p[0] > p[2] > 1e-3 and p.sum() < 1
+    known, every = [b"ab", b"abc", b"b", b"abd"], [bytes([x]) for x in range(256)]
+    v = lm_vocabulary([*known, *every], [0] * 260, [50, 20, 5, 1] + [0] * 256)
+    coded = lm_scoring.Coded(v)
+    seen = lm_scoring.Paths(coded, lm_scoring.whole_paths(v), 1)
+    mixer = lm_scoring.Mixer()
+    mixer.learn(coded, seen, v.counts[coded.word].astype(np.float64))
+    p = dict(zip(lm_words(v), 10 ** lm_scoring.Mixer.model(mixer.sums()).costs(coded, seen, len(v.words)), strict=True))
+    assert sum(p[x] for x in every) < 1  # each is followed by a space
+    assert p[b"ab"] > p[b"b"] > 1e-3 and sum(p.values()) < 1
     again = lm_scoring.Vocabulary.unpack(v.pack())
-    assert (again.hashes == v.hashes).all() and (again.data == v.data).all() and (again.cuts == v.cuts).all()
+    assert all((getattr(again, c) == getattr(v, c)).all() for c in ("words", "state", "counts", "cuts", "data"))
+
+
+def lm_corpus(seed=7, n=60):
+    """Texts of two made languages."""
+    r = random.Random(seed)
+    tongues = [["".join(r.choices(letters, k=r.randint(1, 6))) for _ in range(80)] for letters in ("abcdefgh", "mnopqrstuvé")]
+    texts = []
+    for k in range(n):
+        own = tongues[k % 2]
+        texts.append(" \n".join(r.choice(own).upper() if r.random() < 0.1 else r.choice(own) for _ in range(r.randint(0, 40))))
+    return [*texts, None, "", "x" * 60]
+
+
+def test_lm_against_a_slow_scorer(spark, make):
+    """Words one by one, bytes one by one, bits one by one, with counts from a dictionary; the learnt classes and weights are given."""
+    texts = lm_corpus()
+    train = [zlib.crc32(str(k).encode()) % 7 != 2 for k in range(len(texts))]
+    docs = make(texts).withColumn("train", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) != 2)
+    known = lm_scoring.learn(spark, docs)
+    states, model = known.states, known.model
+    assert states.number >= 3
+
+    def coded(text):
+        """(word with what follows it, state) of each token."""
+        low = bytes(x + 32 if 65 <= x <= 90 else x for x in (text or "").encode())
+        votes, out = np.zeros(states.number - 1, np.int64), []
+        for k, w in enumerate([*low.split(), b"\n"]):
+            out.append((w if w == b"\n" else w + b" ", int(votes.argmax()) if k else states.number - 1))
+            for x, y in zip(b" " + w[:-1], w, strict=True):
+                votes += states.table[int(((x << 8 | y) * 0x9E3779B1 % 2**32) >> 22)]
+        return out
+
+    counts = lm_counts([(w, s, 1) for t, use in zip(texts, train, strict=True) if use for w, s in coded(t)])
+    logistic = lambda z: 1 / (1 + math.exp(-z))
+
+    def cost(w, state):
+        total = 0.0
+        for i, byte in enumerate(w):
+            seen = lm_contexts(w, i, state)
+            for j in range(8):
+                node = [counts[c, j, byte >> (8 - j)] for c in seen]
+                ones = [counts[c, j + 1, (byte >> (8 - j)) * 2 + 1] for c in seen]
+                x = [min(14, max(-14, math.log((o + 0.2) / (n - o + 0.2)))) for n, o in zip(node, ones, strict=True)]
+                step = [sum(n >= s for s in (1, 2, 4, 8, 16, 64, 256)) for n in node]
+                coarse = [(s > 0) + (s > 3) for s in step]
+                gate = ((step[4] * 3 + coarse[3]) * 3 + coarse[2]) * 8 + j
+                z = sum(float(a) * b for a, b in zip(model.weights[gate], x, strict=True))
+                at = (min(7.999, max(-7.999, z)) + 8) * 2
+                row = model.refine[w[i - 1] if i else 0]
+                p = (row[int(at)] * (1 - at % 1) + row[int(at) + 1] * (at % 1) + logistic(z)) / 2
+                p = min(1 - 1e-6, max(1e-6, p))
+                total += math.log10(p if byte >> (7 - j) & 1 else 1 - p)
+        return total
+
+    want = [sum(cost(w, s) for w, s in coded(t)) for t in texts]
+    got = [g.score for g in lm_scoring.score(spark, make(texts)).orderBy("doc_id").collect()]
+    assert got == pytest.approx(want, rel=1e-4, abs=1e-3)
+
+
+def test_lm_states_follow_the_text(spark, make):
+    """Words cost less after words of their own language; the order of words matters."""
+    texts = lm_corpus(9, 400)
+    tokens = texts[1].split(), texts[2].split()
+    n = min(map(len, tokens))
+    texts += [" ".join(tokens[0][:n] + tokens[1][:n]), " ".join(w for pair in zip(tokens[0][:n], tokens[1][:n], strict=True) for w in pair)]
+    got = {g.doc_id: g.score for g in lm_scoring.score(spark, make(texts)).collect()}
+    assert n < 5 or got[len(texts) - 2] > got[len(texts) - 1]
+
+
+def test_lm_beats_the_base_on_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = lm_scoring.score(spark, docs).where("held_out and n_tokens > 20").toPandas()
+    assert (out.score > out.base_score).mean() > 0.5
 
 
 def test_urls(spark):
@@ -242,7 +329,10 @@ def test_packing_round_trip(spark, make):
             assert o == at
             at += n
         full.append(at)
-    assert max(full) <= 256 and sum(256 - x for x in full) < 4 * 256
+    assert max(full) <= 256 and sum(256 - x for x in full) < 0.1 * 256 * len(full)
+    # only documents longer than a window are cut, into whole windows and what is left
+    for k, x in by_doc.items():
+        assert k == 1 or sorted(n for _, n in x)[1:] == [256] * (len(ids[k]) // 256 - (len(ids[k]) % 256 == 0)) or len(x) == 1
     crc = {(g.doc_id, g.start, g.sequence_id): g.ids_crc32 for g in packing.with_crc(packing.pack(spark, d, tokenizer_path(), capacity=256)).collect()}
     assert all(crc[g.doc_id, g.start, g.sequence_id] == zlib.crc32(bytes(g.ids)) for g in got)
     assert packing.pack(spark, make([]), tokenizer_path()).count() == 0
@@ -255,3 +345,17 @@ def test_differencing():
         window, sums = packing.difference(x, m)
         assert (np.bincount(window, weights=x, minlength=m) == sums).all() and sums.max() - sums.min() <= 4
     assert packing.difference(np.zeros(0, int), 3)[1].tolist() == [0, 0, 0]
+
+
+def test_window_count_rises_beyond_the_capacity():
+    # five items of 60 fit no two windows of 150
+    window, m = packing.fitting(np.array([60] * 5), 150)
+    assert m == 3 and np.bincount(window).max() == 2
+    # no two of these share a window
+    assert packing.fitting(np.array([90, 90, 90]), 150)[1] == 3
+    r = np.random.default_rng(1)
+    for _ in range(20):
+        x = r.integers(1, 100, r.integers(1, 80))
+        window, m = packing.fitting(x, 128)
+        sums = np.bincount(window, weights=x, minlength=m)
+        assert sums.max() <= 128 and m >= -(-x.sum() // 128)

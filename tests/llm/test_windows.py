@@ -150,3 +150,14 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         S.shared_dir(Session)
+
+
+def test_shared_bytes_show_short_passages(spark, make):
+    """n_shared: a passage below 400 bytes stays, but shows where both copies have anchors at positions of the cover."""
+    r = random.Random(9)
+    alone = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    passage = alone(350)
+    texts = [passage + alone(300), alone(307) + passage, alone(900), "", passage[:60] + alone(200)]
+    got = suffix_dedup.remove_repeats(spark, make(texts)).orderBy("doc_id").collect()
+    assert [g.n_removed for g in got] == [0] * 5
+    assert got[0].n_shared == got[1].n_shared > 200 and [g.n_shared for g in got[2:]] == [0, 0, 0]

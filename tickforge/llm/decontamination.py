@@ -49,6 +49,11 @@ def index(docs: DataFrame, terms: DataFrame | None = None, broadcast: bool = Fal
     return postings if terms is None else postings.join(_side(terms, broadcast), "term")
 
 
+def stored_index(docs: DataFrame, terms: DataFrame, broadcast: bool = False) -> DataFrame:
+    """The index of some terms, written to the shared folder: lookups read it, whatever they are and however often."""
+    return settle(docs.sparkSession, index(docs, terms, broadcast), "postings")
+
+
 def windows(known: DataFrame, counts: DataFrame, broadcast: bool) -> DataFrame:
     """known with lookups: for each window its rarest and second rarest place (first, second)."""
     places = known.select("item", "n", F.size("words").alias("len"), F.posexplode("words").alias("q", "term"))
@@ -61,11 +66,12 @@ def windows(known: DataFrame, counts: DataFrame, broadcast: bool) -> DataFrame:
 
 
 def candidates(docs: DataFrame, known: DataFrame, broadcast: bool) -> DataFrame:
-    """(doc_id, item, at): places of items in documents where both rare terms of a window stand as in the item."""
+    """(doc_id, item, at): places of items in documents where both rare terms of a window stand as in the item: their posting lists, shifted by their places in the item, intersect."""
     places = known.select("item", "words", F.explode("lookups").alias("l")).select("item", F.explode(F.array_distinct(F.array("l.first", "l.second"))).alias("q"), "words")
     terms = places.select(F.expr("words[q]").alias("term"), "item", "q").distinct()
     grouped = terms.groupBy("term").agg(F.collect_list(F.struct("item", "q")).alias("uses"))
-    hits = index(docs, grouped, broadcast).select("doc_id", "pos", F.explode("uses").alias("u"))
+    postings = stored_index(docs, terms.select("term").distinct(), broadcast)
+    hits = postings.join(_side(grouped, broadcast), "term").select("doc_id", "pos", F.explode("uses").alias("u"))
     met = hits.groupBy("doc_id", F.col("u.item").alias("item"), (F.col("pos") - F.col("u.q")).alias("at")).agg(F.collect_set("u.q").alias("qs"))
     both = met.join(_side(known.select("item", "lookups"), broadcast), "item")
     return both.where("exists(lookups, l -> array_contains(qs, l.first) and array_contains(qs, l.second))").select("doc_id", "item", "at")
@@ -121,7 +127,8 @@ def proximity_matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
     each = windows(known, counts, broadcast).select("item_id", "n", F.explode(F.expr("transform(sequence(0, size(words) - n), k -> slice(words, k + 1, n))")).alias("window"))
     rare = each.select("item_id", "n", F.array_distinct("window").alias("window"), F.explode("window").alias("term"))
     rare = rare.join(_side(counts, broadcast), "term").groupBy("item_id", "n", "window").agg(F.min_by("term", F.struct("count", "term")).alias("term"))
-    hits = index(docs, rare.withColumnRenamed("window", "need"), broadcast)
+    postings = stored_index(docs, rare.select("term").distinct(), broadcast)
+    hits = postings.join(_side(rare.withColumnRenamed("window", "need"), broadcast), "term")
     both = hits.join(docs.select(F.col("doc_id").alias("d"), tokens(F.col("text")).alias("tokens")), F.col("doc_id").eqNullSafe(F.col("d")))
     spans = F.expr(f"filter(sequence(greatest(0, pos - n - {slop} + 1), pos), s -> size(array_except(need, slice(tokens, s + 1, n + {slop}))) = 0)")
     return both.select("doc_id", "item_id", F.array_min(spans).alias("start")).where("start is not null").distinct()

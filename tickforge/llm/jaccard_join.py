@@ -267,6 +267,8 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     blocks, rows = texts.blocks, texts.rows()
     hot, weight = frequent(rows, n, rows.count())
     width = S.reducers(spark, blocks)
+    # pairs are dealt to so many groups that groups times fragments make as many tasks
+    groups = -(-width // FRAGMENTS)
 
     def first_prefixes(batches):
         out = repeats.Sender(width, blocks, False)
@@ -299,7 +301,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
         """Prefix n-grams of the documents that share enough of their set with any others to link at all; labels come with the flags in round two."""
 
         def f(left: pa.Table, right: pa.Table) -> pa.Table:
-            out, made = Lists(width, width, stars, percent), []
+            out, made = Lists(width, groups, stars, percent), []
             payloads = right["payload"].to_pylist()
             label_of = [p for p in payloads if p[:8] == _LABELS]
             flags = [p for p in payloads if p[:8] != _LABELS]
@@ -331,7 +333,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
 
     def linked(flags: DataFrame, stars: bool, name: str) -> DataFrame:
         sent = texts.beside(flags, lists(stars), _PAIRS, "doc_id", "text")
-        pairs = gathered(spark, sent.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(width, stars, percent), _PAIRS), width, blocks, name)
+        pairs = gathered(spark, sent.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(groups, stars, percent), _PAIRS), groups, blocks, name)
         return overlaps(spark, texts, pairs, n, percent)
 
     # Round one, then round two with the components so far.
@@ -425,9 +427,13 @@ def segments(texts: repeats.Texts, pairs: DataFrame, n: int) -> DataFrame:
                     rs = r[np.searchsorted(g, k) : np.searchsorted(g, k, side="right")]
                     w, i = S.ranges(first[rs], first[rs + 1])
                     d, x = ids[a:e][rs], h[i]
-                    made.append((_SIZES, k * FRAGMENTS, d.tobytes() + size[rs].astype(np.int64).tobytes()))
-                    for f, at in S.split_by((x >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64), FRAGMENTS):
-                        made.append((_SETS, k * FRAGMENTS + f, S.pack(d[w[at]], np.zeros(len(at), np.int32), x[at])))
+                    parts = dict(S.split_by((x >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64), FRAGMENTS))
+                    sizes = np.array([len(d)], np.int64).tobytes() + d.tobytes() + size[rs].astype(np.int64).tobytes()
+                    for f in range(FRAGMENTS):
+                        at = parts.get(f, np.zeros(0, np.int64))
+                        if len(at) or not f:
+                            # the first fragment brings the sizes of the sets along
+                            made.append((_SETS, k * FRAGMENTS + f, (b"" if f else sizes) + S.pack(d[w[at]], np.zeros(len(at), np.int32), x[at])))
         return pa.Table.from_batches([repeats.as_batch(made)])
 
     wanted = pairs.where(F.col("kind") == _ASKED).select(F.col("bucket").alias("block"), "payload")
@@ -465,14 +471,17 @@ def overlaps(spark: SparkSession, texts: repeats.Texts, pairs: DataFrame, n: int
         of = lambda kind: [r for k, r in zip(kinds, raws, strict=True) if k == kind]
         a, b = read_pairs(of(_TWO))
         group, fragment = divmod(t["bucket"][0].as_py(), FRAGMENTS)
-        out = []
-        if len(a) and (have := [S.unpack(r)[::2][:2] for r in of(_SETS)]):
-            docs, h = (np.concatenate(x) for x in zip(*have, strict=True))
+        out, sets, sizes = [], of(_SETS), []
+        if not fragment:
+            ends = [8 + 16 * int(np.frombuffer(r, np.int64, 1)[0]) for r in sets]
+            sizes, sets = [r[8:e] for r, e in zip(sets, ends, strict=True)], [r[e:] for r, e in zip(sets, ends, strict=True)]
+        if len(a) and sets:
+            docs, h = (np.concatenate(x) for x in zip(*(S.unpack(r)[::2][:2] for r in sets), strict=True))
             order = np.lexsort((h, docs))
             partial = S._planes(common(a, b, docs[order], h[order]).astype(np.int32))
             out.append((_PARTIAL, group, zstandard.ZstdCompressor(level=1).compress(partial)))
         if not fragment:
-            out += [(_TWO, group, a.tobytes() + b.tobytes()), *((_SIZES, group, r) for r in of(_SIZES))]
+            out += [(_TWO, group, a.tobytes() + b.tobytes()), *((_SIZES, group, r) for r in sizes)]
         return pa.Table.from_batches([repeats.as_batch(out)])
 
     def summed(t: pa.Table) -> pa.Table:

@@ -28,7 +28,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -69,12 +69,19 @@ class Symbols:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, spec: Windows):
         if spec.unit == "byte":
-            self.words, self.first, self.symbols = None, offsets, BYTE_VALUES[data]
+            self.words, self.first = None, offsets
         else:
             self.words = Words(data, offsets)
-            self.first, self.symbols = self.words.first, self.words.hashes
-        self.roll = Rolling(self.symbols)
-        self.counts = np.diff(self.first)
+            self.first = self.words.first
+        self.data, self.counts = data, np.diff(self.first)
+
+    @cached_property
+    def symbols(self) -> np.ndarray:
+        return self.words.hashes if self.words else BYTE_VALUES[self.data]
+
+    @cached_property
+    def roll(self) -> Rolling:
+        return Rolling(self.symbols)
 
     def anchors(self, spec: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, position in it, hash)"""
@@ -277,8 +284,8 @@ def sent(texts: DataFrame, f: Callable, n: int, blocks: int, later_only: bool) -
     return texts.mapInArrow(f, Sender.SCHEMA).repartitionById(n, F.col("bucket") % n).mapInArrow(settle_bucket(blocks, later_only), "block int, payload binary")
 
 
-def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[Texts, DataFrame]:
-    """(texts by block, packed starts of repeated windows by block), both stored in the shared folder."""
+def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[Texts, DataFrame, DataFrame]:
+    """(texts by block, packed starts of repeated windows by block, those of repeated anchors), all stored in the shared folder."""
     texts = store(spark, docs)
     blocks = texts.blocks
     n = S.reducers(spark, blocks)
@@ -301,7 +308,11 @@ def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[Texts, Da
             out, made = Sender(n, blocks, spec.later_only), []
             docs_of = S.ids(left["doc_id"]) if len(left) else np.zeros(0, np.int64)
             rows, at = flagged_rows(docs_of, right["payload"].to_pylist())
-            for a, e, data, off in row_chunks(left["text"]) if len(rows) else ():
+            # documents without a repeated anchor have no repeated window
+            some, rows = np.unique(rows, return_inverse=True)
+            order = np.argsort(rows, kind="stable")
+            rows, at, docs_of = rows[order], at[order], docs_of[some]
+            for a, e, data, off in row_chunks(left["text"].take(pa.array(some))) if len(some) else ():
                 lo, hi = np.searchsorted(rows, [a, e])
                 row, pos, h, check = Symbols(data, off, spec).windows(spec, rows[lo:hi] - a, at[lo:hi], which)
                 d = docs_of[a:e][row]
@@ -317,27 +328,37 @@ def find(spark: SparkSession, docs: DataFrame, spec: Windows) -> tuple[Texts, Da
         part = S.settle(spark, sends.repartitionById(n, F.col("bucket") % n).mapInArrow(settle_bucket(blocks, spec.later_only), "block int, payload binary"), f"windows{k}")
         S.release(spark)
         starts = part if starts is None else starts.unionByName(part)
-    return texts, starts
+    return texts, starts, found
 
 
-def apply(texts: Texts, starts: DataFrame, spec: Windows, f: Callable[[Symbols, np.ndarray, np.ndarray, np.ndarray], dict], **columns: DataType) -> DataFrame:
-    """doc_id, rest and the columns f(symbols, data, offsets, covered) makes of each run of documents."""
+def apply(texts: Texts, starts: DataFrame, spec: Windows, f: Callable[..., dict], anchors: DataFrame | None = None, **columns: DataType) -> DataFrame:
+    """doc_id, rest and the columns f(symbols, data, offsets, covered) makes of each run of documents; with anchors, f also gets what they cover."""
+
+    n_kinds = 1 if anchors is None else 2
 
     def g(left: pa.Table, right: pa.Table) -> pa.Table:
         docs_of = S.ids(left["doc_id"]) if len(left) else np.zeros(0, np.int64)
-        rows, at = flagged_rows(docs_of, right["payload"].to_pylist())
-        order = np.argsort(rows, kind="stable")
-        rows, at, made = rows[order], at[order].astype(np.int64), []
+        kinds, payloads = right["kind"].to_pylist(), right["payload"].to_pylist()
+        flags = []
+        for kind in range(n_kinds):
+            rows, at = flagged_rows(docs_of, [p for k, p in zip(kinds, payloads, strict=True) if k == kind])
+            order = np.argsort(rows, kind="stable")
+            flags.append((rows[order], at[order].astype(np.int64), spec.anchor if kind else spec.length))
+        made = []
         runs = row_chunks(left["text"]) if len(left) else [(0, 0, np.zeros(0, np.uint8), np.zeros(1, np.int64))]
         for a, e, data, off in runs:
-            lo, hi = np.searchsorted(rows, [a, e])
-            s = Symbols(data, off, spec)
-            covered = s.marked(rows[lo:hi] - a, at[lo:hi], at[lo:hi] + spec.length)
-            made.append(pa.table({"doc_id": left["doc_id"].slice(a, e - a), "rest": left["rest"].slice(a, e - a), **f(s, data, off, covered)}))
+            s, marks = Symbols(data, off, spec), []
+            for rows, at, length in flags:
+                lo, hi = np.searchsorted(rows, [a, e])
+                marks.append(s.marked(rows[lo:hi] - a, at[lo:hi], at[lo:hi] + length))
+            made.append(pa.table({"doc_id": left["doc_id"].slice(a, e - a), "rest": left["rest"].slice(a, e - a), **f(s, data, off, *marks)}))
         return pa.concat_tables(made)
 
     own = texts.shelves[0].schema
-    return texts.beside(starts, g, S.more_fields(StructType([own["doc_id"], own["rest"]]), **columns))
+    payloads = starts.withColumn("kind", F.lit(0))
+    if anchors is not None:
+        payloads = payloads.unionByName(anchors.withColumn("kind", F.lit(1)))
+    return texts.beside(payloads, g, S.more_fields(StructType([own["doc_id"], own["rest"]]), **columns))
 
 
 def binary_column(data: np.ndarray, keep: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:

@@ -27,7 +27,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 20) -> Da
     words lose nothing.  An empty table gives an empty result.
     """
     spec = repeats.Windows("word", window, PERIOD, COVER, later_only=True)
-    texts, starts = repeats.find(spark, docs, spec)
+    texts, starts, _ = repeats.find(spark, docs, spec)
     return repeats.apply(texts, starts, spec, _kept, text=StringType(), n_words=LongType(), n_removed=LongType())
 
 

@@ -50,24 +50,30 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, roun
     sort is done in so many ranges of names, one after the other, so that its
     shuffle takes that share of the disk.  Returns, per input row: doc_id, rest
     (a struct of the other columns), kept (binary; cuts may fall inside a
-    character), n_bytes, n_removed and n_spans (maximal removed runs).
+    character), n_bytes, n_removed, n_spans (maximal removed runs) and n_shared:
+    the bytes inside anchors (of length - 306) that start elsewhere too, by
+    which passages shorter than ``length`` show, which stay.  An anchor is found
+    where both copies of a passage have it at a position of the cover, so a
+    repeated string of ``length`` always shows and a shorter one mostly.
 
     Null text: no bytes.  Rows without doc_id count as one document; rows that
     repeat a doc_id are the same document, not another occurrence.  An empty
     table gives an empty result.
     """
     spec = repeats.Windows("byte", length, PERIOD, COVER, later_only=False, rounds=rounds)
-    texts, starts = repeats.find(spark, docs, spec)
-    return repeats.apply(texts, starts, spec, _kept, kept=BinaryType(), n_bytes=LongType(), n_removed=LongType(), n_spans=LongType())
+    texts, starts, anchors = repeats.find(spark, docs, spec)
+    return repeats.apply(texts, starts, spec, _kept, anchors, kept=BinaryType(), n_bytes=LongType(), n_removed=LongType(), n_spans=LongType(), n_shared=LongType())
 
 
-def _kept(s: repeats.Symbols, data: np.ndarray, off: np.ndarray, covered: np.ndarray) -> dict:
+def _kept(s: repeats.Symbols, data: np.ndarray, off: np.ndarray, covered: np.ndarray, shared: np.ndarray) -> dict:
     total = np.zeros(len(data) + 1, np.int64)
     np.cumsum(covered, out=total[1:])
+    also = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(shared, out=also[1:])
     begin = covered.copy()
     begin[1:] &= ~covered[:-1]
     first = off[:-1][off[:-1] < off[1:]]
     begin[first] = covered[first]
     spans = np.zeros(len(data) + 1, np.int64)
     np.cumsum(begin, out=spans[1:])
-    return {"kept": repeats.binary_column(data, ~covered, off, pa.binary()), "n_bytes": pa.array(np.diff(off), pa.int64()), "n_removed": pa.array(np.diff(total[off]), pa.int64()), "n_spans": pa.array(np.diff(spans[off]), pa.int64())}
+    return {"kept": repeats.binary_column(data, ~covered, off, pa.binary()), "n_bytes": pa.array(np.diff(off), pa.int64()), "n_removed": pa.array(np.diff(total[off]), pa.int64()), "n_spans": pa.array(np.diff(spans[off]), pa.int64()), "n_shared": pa.array(np.diff(also[off]), pa.int64())}

@@ -11,6 +11,7 @@ finished by an avalanche mix.  Equal sequences always have equal hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +118,12 @@ class Words:
         #: Words of document d are first[d]:first[d + 1].
         self.first = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.first)
-        self.hashes = Rolling(values[data])(self.starts, self.ends) if n else np.zeros(0, U64)
+        self._bytes, self._values = data, values
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        """The hash of each word."""
+        return Rolling(self._values[self._bytes])(self.starts, self.ends) if len(self._bytes) else np.zeros(0, U64)
 
     def row_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
