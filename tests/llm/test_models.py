@@ -131,24 +131,36 @@ def test_lm_path_counts(spark):
                 assert taken[o].tolist() == [want[lm_contexts(w, i, s)[o], j + 1, w[i] >> (7 - j)] for w, i, s in places]
 
 
+def lm_rounds(v):
+    """The model of a vocabulary, in one process."""
+    coded = lm_scoring.Coded(v)
+    seen = lm_scoring.Paths(coded, lm_scoring.whole_paths(v), 1)
+    weights = np.full((lm_scoring._GATES, len(lm_scoring.ORDERS)), lm_scoring.START)
+    for _ in range(lm_scoring.ROUNDS):
+        mixer = lm_scoring.Mixer(weights)
+        mixer.learn(coded, seen, v.counts[coded.word].astype(np.float64))
+        model = mixer.model(mixer.sums())
+        weights = model.weights.astype(np.float64)
+    return model, mixer, coded, seen
+
+
 def test_lm_mixer_learns_from_all_occurrences(spark):
+    """However words are dealt to tasks, a few of them or very frequent ones, the weights are the same."""
     v = lm_vocabulary([b"the", b"of", b"rare", b"new"], [0, 1, 0, 0], [900_000, 50_000, 1, 0])
     rows = spark.createDataFrame([(k, bytearray(v.take(np.array([k])).pack()), bytearray(b"")) for k in range(4)], "chunk long, payload binary, totals binary")
-    sums = lm_scoring.train(lm_scoring.with_paths(rows, 3), 3)
-    decisions = 8 * (900_000 * 4 + 50_000 * 3 + 5)
-    assert sums[-256 * 33 :].sum() == pytest.approx(decisions)
-    assert np.isfinite(lm_scoring.Mixer.model(sums).weights).all()
+    model, mixer, *_ = lm_rounds(v)
+    got = lm_scoring.train(lm_scoring.with_paths(rows, 3), 3)
+    assert mixer.seen.sum() == pytest.approx(8 * (900_000 * 4 + 50_000 * 3 + 5))
+    assert got.weights == pytest.approx(model.weights, abs=1e-3) and got.refine == pytest.approx(model.refine, abs=1e-3)
+    assert np.abs(got.weights).max() < 20
 
 
 def test_lm_is_a_distribution():
     """Probabilities of all next bytes sum to 1, so do those of all words."""
     known, every = [b"ab", b"abc", b"b", b"abd"], [bytes([x]) for x in range(256)]
     v = lm_vocabulary([*known, *every], [0] * 260, [50, 20, 5, 1] + [0] * 256)
-    coded = lm_scoring.Coded(v)
-    seen = lm_scoring.Paths(coded, lm_scoring.whole_paths(v), 1)
-    mixer = lm_scoring.Mixer()
-    mixer.learn(coded, seen, v.counts[coded.word].astype(np.float64))
-    p = dict(zip(lm_words(v), 10 ** lm_scoring.Mixer.model(mixer.sums()).costs(coded, seen, len(v.words)), strict=True))
+    model, _, coded, seen = lm_rounds(v)
+    p = dict(zip(lm_words(v), 10 ** model.costs(coded, seen, len(v.words)), strict=True))
     assert sum(p[x] for x in every) < 1  # each is followed by a space
     assert p[b"ab"] > p[b"b"] > 1e-3 and sum(p.values()) < 1
     again = lm_scoring.Vocabulary.unpack(v.pack())
@@ -213,13 +225,25 @@ def test_lm_against_a_slow_scorer(spark, make):
 
 
 def test_lm_states_follow_the_text(spark, make):
-    """Words cost less after words of their own language; the order of words matters."""
-    texts = lm_corpus(9, 400)
-    tokens = texts[1].split(), texts[2].split()
-    n = min(map(len, tokens))
-    texts += [" ".join(tokens[0][:n] + tokens[1][:n]), " ".join(w for pair in zip(tokens[0][:n], tokens[1][:n], strict=True) for w in pair)]
-    got = {g.doc_id: g.score for g in lm_scoring.score(spark, make(texts)).collect()}
-    assert n < 5 or got[len(texts) - 2] > got[len(texts) - 1]
+    """A word's state is the class that the words before it speak for."""
+    r = random.Random(9)
+    first, second = (["".join(r.choices(letters, k=4)) for _ in range(40)] for letters in ("abcdefgh", "mnopqrst"))
+    texts = [" ".join(r.choices(own, k=30)) for _ in range(100) for own in (first, second)]
+    known = lm_scoring.learn(spark, make(texts).withColumn("train", F.lit(True)))
+
+    def states(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        t = lm_scoring.Tokens.of(data, np.array([0, len(data)]), known.states)
+        return (t.kind % t.states).tolist()
+
+    a, b = (set().union(*(states(" ".join(own[k : k + 12]))[1:] for k in range(20))) for own in (first, second))
+    assert not a & b
+    mixed = states(" ".join(first[:4] + second[:20]))
+    assert mixed[0] == known.states.number - 1 and mixed[1] in a and mixed[4] in a and mixed[-1] in b
+    assert states("") == states("x")[:1] == [known.states.number - 1]
+    # the same words cost less after words of their own language
+    got = lm_scoring.score(spark, make([*texts, " ".join(first[:12]), " ".join([second[0], *first[1:12]])])).where(f"doc_id >= {len(texts)}").orderBy("doc_id").collect()
+    assert got[0].score > got[1].score
 
 
 def test_lm_beats_the_base_on_held_out_documents(spark):
