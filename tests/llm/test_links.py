@@ -119,6 +119,26 @@ def test_proximity(spark, make):
     assert {r.doc_id for r in got} == {0, 1}
 
 
+def test_proximity_against_brute_force(spark, make):
+    """A document and an item meet where some span of a window's length plus slop holds all its words."""
+    r = random.Random(11)
+    words = [f"p{k}" for k in range(25)]
+    items = [" ".join(r.choice(words) for _ in range(r.randint(1, 8))) for _ in range(10)] + [None, "..."]
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 40))) for _ in range(30)] + [None, "", items[0], items[1].upper() + " x " + items[2]]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = set()
+    for d, text in enumerate(texts):
+        w = _ITEM.findall((text or "").translate(_LOW))
+        for k, item in enumerate(items):
+            x = _ITEM.findall((item or "").translate(_LOW))
+            n = min(4, len(x))
+            for need in ({*x[i : i + n]} for i in range(len(x) - n + 1) if n):
+                if any(need <= {*w[s : s + n + 2]} for s in range(len(w))):
+                    want.add((d, k))
+    got = decontamination.proximity_matches(spark, make(texts), bench, width=4, slop=2).collect()
+    assert {(g.doc_id, g.item_id) for g in got} == want and len(want) > 20
+
+
 def test_index(spark, make):
     got = decontamination.index(make(["a b a", None])).collect()
     assert sorted((r.term, r.doc_id, r.pos) for r in got) == [("a", 0, 0), ("a", 0, 2), ("b", 0, 1)]

@@ -135,7 +135,7 @@ def lm_rounds(v):
     """The model of a vocabulary, in one process."""
     coded = lm_scoring.Coded(v)
     seen = lm_scoring.Paths(coded, lm_scoring.whole_paths(v), 1)
-    weights = np.full((lm_scoring._GATES, len(lm_scoring.ORDERS)), lm_scoring.START)
+    weights = lm_scoring.START
     for _ in range(lm_scoring.ROUNDS):
         mixer = lm_scoring.Mixer(weights)
         mixer.learn(coded, seen, v.counts[coded.word].astype(np.float64))
@@ -210,7 +210,7 @@ def test_lm_against_a_slow_scorer(spark, make):
                 x = [min(14, max(-14, math.log((o + 0.2) / (n - o + 0.2)))) for n, o in zip(node, ones, strict=True)]
                 step = [sum(n >= s for s in (1, 2, 4, 8, 16, 64, 256)) for n in node]
                 coarse = [(s > 0) + (s > 3) for s in step]
-                gate = ((step[4] * 3 + coarse[3]) * 3 + coarse[2]) * 8 + j
+                gate = ((step[-1] * 3 + coarse[-2]) * 3 + coarse[-3]) * 8 + j
                 z = sum(float(a) * b for a, b in zip(model.weights[gate], x, strict=True))
                 at = (min(7.999, max(-7.999, z)) + 8) * 2
                 row = model.refine[w[i - 1] if i else 0]

@@ -173,7 +173,9 @@ def identify(spark: SparkSession, docs: DataFrame, per_language: int = 500) -> D
     texts and texts without a letter are ``und`` with score 0, as are all texts
     where no row has a lang to learn from.  Ties go to the first language in
     order.  Rows without doc_id are predicted but not learnt from.  Repeated
-    rows are rows of their own; an empty table gives an empty result.
+    rows are rows of their own; an empty table gives an empty result.  Very long
+    texts count whole.  Columns beside doc_id and text come back inside rest,
+    whatever their names; lang is read from there.
     """
     S.ship(spark)
     docs = S.with_rest(docs).withColumn("held_out", held_out("doc_id", 5, 0))

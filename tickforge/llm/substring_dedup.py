@@ -24,7 +24,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 20) -> Da
     Null text: no words, empty result.  Rows without doc_id count as one
     document before all others.  Rows that repeat a doc_id are taken as the
     same document: both lose the same words.  Texts of fewer than ``window``
-    words lose nothing.  An empty table gives an empty result.
+    words lose nothing.  An empty table gives an empty result.  Very long texts
+    are taken whole, in one task each.  Of equal windows the one of the smallest
+    (doc_id, start) stays, so there are no ties.  Other columns may have any
+    names.
     """
     spec = repeats.Windows("word", window, PERIOD, COVER, later_only=True)
     texts, starts, _ = repeats.find(spark, docs, spec)

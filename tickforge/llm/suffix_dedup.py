@@ -58,7 +58,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, roun
 
     Null text: no bytes.  Rows without doc_id count as one document; rows that
     repeat a doc_id are the same document, not another occurrence.  An empty
-    table gives an empty result.
+    table gives an empty result.  Very long texts are taken whole, in one task
+    each.  All equal strings go, so there are no ties.  Other columns may have
+    any names.
     """
     spec = repeats.Windows("byte", length, PERIOD, COVER, later_only=False, rounds=rounds)
     texts, starts, anchors = repeats.find(spark, docs, spec)

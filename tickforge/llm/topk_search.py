@@ -226,7 +226,8 @@ def search(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = 10
     are no result, so a query may have fewer than k rows, and one without words
     (or with null text) has none.  Rows without doc_id are neither searched nor
     found; rows that repeat a doc_id are documents of their own.  Empty tables
-    give an empty result.
+    give an empty result.  Very long texts count whole, as documents and as
+    queries.  Other columns are not read, whatever their names.
 
     Queries are taken in rounds of about ROUND_TERMS terms; a round is held by
     each task, so its size is bounded whatever their number.

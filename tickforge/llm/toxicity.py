@@ -312,7 +312,10 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_class: in
     on about per_class documents of each class.  Scores come from the whole
     text alone.  Null and empty texts have no words and get the score of a
     text without any likeness.  With labels of one class alone (or none) every
-    score is that class's (or 0).  An empty table gives an empty result.
+    score is that class's (or 0).  An empty table gives an empty result.  Very
+    long texts are read whole.  Repeated rows, and rows without doc_id, are
+    scored each by its own text; a score of 0.5 counts as toxic.  Columns beside
+    doc_id and text come back inside rest, whatever their names.
     """
     S.ship(spark)
     docs = S.with_rest(docs).withColumn("held_out", held_out("doc_id", 5, 0))

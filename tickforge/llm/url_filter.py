@@ -98,7 +98,9 @@ def judge(spark: SparkSession, pages: DataFrame, rules: dict[str, str] | None =
     Null urls and urls without ``://`` have an empty host and path; no rule
     fits them and the method judges the empty strings.  Other columns are left
     out, whatever their names.  Repeated rows are judged one by one; an empty
-    table gives an empty result.
+    table gives an empty result.  Very long urls count whole.  Of rules that
+    fit, the longest wins, and of equally long ones the last in order; a
+    probability of 0.5 is allowed.
     """
     rules = RULES if rules is None else rules
     hashed, model = train(spark)
