@@ -127,8 +127,8 @@ def test_lm_path_counts(spark):
         for j in range(8):
             node, taken = seen(j)
             for o in range(len(lm_scoring.ORDERS)):
-                assert node[o].tolist() == [want[lm_contexts(w, i, s)[o], j, w[i] >> (8 - j)] for w, i, s in places]
-                assert taken[o].tolist() == [want[lm_contexts(w, i, s)[o], j + 1, w[i] >> (7 - j)] for w, i, s in places]
+                assert node[o][coded.beginning].tolist() == [want[lm_contexts(w, i, s)[o], j, w[i] >> (8 - j)] for w, i, s in places]
+                assert taken[o][coded.beginning].tolist() == [want[lm_contexts(w, i, s)[o], j + 1, w[i] >> (7 - j)] for w, i, s in places]
 
 
 def lm_rounds(v):
@@ -138,7 +138,7 @@ def lm_rounds(v):
     weights = lm_scoring.START
     for _ in range(lm_scoring.ROUNDS):
         mixer = lm_scoring.Mixer(weights)
-        mixer.learn(coded, seen, v.counts[coded.word].astype(np.float64))
+        mixer.learn(coded, seen, coded.weight(v.counts))
         model = mixer.model(mixer.sums())
         weights = model.weights.astype(np.float64)
     return model, mixer, coded, seen

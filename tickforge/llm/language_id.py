@@ -146,12 +146,12 @@ def train(spark: SparkSession, rows: DataFrame, per_language: int = 500) -> Mode
             langs = b["lang"].to_pylist()
             for a, e, m in counts(b["text"].to_pylist()):
                 on = [np.flatnonzero(x) for x in m]
-                yield pa.RecordBatch.from_arrays([pa.array(langs[a:e]), pa.array([i.astype(np.int16).tobytes() for i in on]), pa.array([np.minimum(65535, x[i]).astype(np.uint16).tobytes() for x, i in zip(m, on, strict=True)])], names=["lang", "i", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(langs[a:e]), pa.array([i.astype(np.int16).tobytes() for i in on]), pa.array([x[i].astype(np.uint32).tobytes() for x, i in zip(m, on, strict=True)])], names=["lang", "i", "c"])
 
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
     data = []
     for r in sample.select("lang", "text").mapInArrow(features, "lang string, i binary, c binary").orderBy("lang", "i", "c").toLocalIterator():
-        i, c = np.frombuffer(r["i"], np.int16).astype(np.int64), np.frombuffer(r["c"], np.uint16)
+        i, c = np.frombuffer(r["i"], np.int16).astype(np.int64), np.frombuffer(r["c"], np.uint32)
         v = (1 + np.log(c)) * idf[i]
         data.append((i, v / max(1e-9, np.sqrt((v * v).sum())), number[r["lang"]]))
     held = data[::5] if len(data) > 50 else []

@@ -176,7 +176,7 @@ def choose_landmarks(docs: list[set[str]], y: np.ndarray, most: int) -> list[str
     n_bad, n_good = max(1, y.sum()), max(1, (1 - y).sum())
     strong = {w for w, n in bad.items() if n >= 3 and n / n_bad > 6 * (good[w] + 0.5) / n_good}
     if not strong:
-        strong = {w for w, _ in bad.most_common(200)}
+        strong = {w for w, n in bad.items() if n >= 2} or set(bad)
     inside = defaultdict(set)
     for w in strong:
         for size in range(4, 9):
@@ -196,7 +196,7 @@ def choose_landmarks(docs: list[set[str]], y: np.ndarray, most: int) -> list[str
     share = n_bad / n_good
     chosen: list[str] = []
     left = {k for k in range(len(docs)) if y[k]}
-    ranked = sorted(cover, key=lambda s: (-len(cover[s]), -len(s), s))[:4000]
+    ranked = sorted(cover, key=lambda s: (-len(cover[s]), -len(s), s))
     clean: dict[str, int] = {}
 
     def clean_count(s: str) -> int:
