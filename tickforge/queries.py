@@ -7,6 +7,7 @@ show; logarithms, deviations and recursions are rounded to six places.
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -14,6 +15,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickforge.config import Config
 from tickforge.functions.scalar import FIXED_MICROS, raw_to_ns
 from tickforge.operators import bars as B
 from tickforge.operators import orderflow as O
@@ -21,7 +23,9 @@ from tickforge.operators import profile as P
 from tickforge.operators import quality as Q
 from tickforge.operators import volatility as V
 from tickforge.operators.vwap import session_vwap
-from tickforge.schemas import INTERVALS
+from tickforge.plans import ingest, warehouse
+from tickforge.plans.ledger import Ledger
+from tickforge.schemas import BARS, INTERVALS
 from tickforge.sources.archives import read_archives
 from tickforge.sources.tables import events_as_ticks, lineitem_as_ticks
 
@@ -301,10 +305,18 @@ _near("session_range_double", ORACLES["session_range"], lambda s, d: P.session_r
 # --- archives --------------------------------------------------------------
 
 
+def _folder(spark: SparkSession, name: str) -> Path:
+    """A new folder for files that executors read too: below spark.checkpoint.dir, where it is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    out = Path(tempfile.mkdtemp(prefix="tickforge-") if not base else f"{base.removeprefix('file://')}/tickforge-{uuid.uuid4().hex}") / name
+    out.mkdir(parents=True)
+    return out
+
+
 def _as_archives(spark: SparkSession, folder: str) -> list[str]:
     """All events as two monthly archives of one symbol: a zip with a header and milliseconds, and a CSV without and with microseconds."""
     rows = events_as_ticks(spark, folder).select("trade_id", "price", "qty", "quote_qty", F.expr("trade_time_ns div 1000").alias("us"), "is_buyer_maker").orderBy("trade_id")
-    out = Path(tempfile.mkdtemp(prefix="archives-"))
+    out = _folder(spark, "inbox")
     plain, packed = out / "EVT-trades-2024-02.csv", out / "EVT-trades-2024-01.zip"
     with plain.open("w") as a, zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z, z.open("EVT-trades-2024-01.csv", "w", force_zip64=True) as b:
         b.write(b"id,price,qty,quote_qty,time,is_buyer_maker\n")
@@ -328,6 +340,46 @@ FROM (SELECT *, trade_id - lag(trade_id) OVER (PARTITION BY source_file ORDER BY
 )
 
 
+# --- the whole life of archives: inbox, ledger, ticks, bars -------------------
+
+
+def _ingested(spark: SparkSession, folder: str) -> Config:
+    """Both archives of all events taken in, month by month."""
+    inbox = Path(_as_archives(spark, folder)[0]).parent
+    config = Config(symbol="EVT", start_month="2024-01", inbox=inbox, warehouse=inbox.parent / "warehouse", intervals=("1h", "1d"), min_free_disk_gb=0.1)
+    for part in (config.warehouse, config.ticks, config.reports):
+        part.mkdir(parents=True, exist_ok=True)
+    ingest.run(spark, config)
+    return config
+
+
+def _ledger_rows(spark: SparkSession, config: Config) -> DataFrame:
+    ledger = Ledger(config.ledger)
+    names = ("year_month", "status", "checkpoint", "verification_status", "rows_seen", "rows_rejected", "rows_written", "n_id_gaps", "n_missing_ids", "min_trade_id", "max_trade_id")
+    rows = [tuple(r[c] for c in names) for r in ledger.months(config.symbol)]
+    ledger.close()
+    return spark.createDataFrame(rows, ", ".join(f"{c} {'string' if k < 4 else 'long'}" for k, c in enumerate(names)))
+
+
+_INGESTED = f"raw0 AS ({_SQL_TICKS['events']}), raw AS (SELECT * REPLACE (CASE WHEN trade_id % 2 = 0 THEN date_trunc('millisecond', ts) ELSE ts END AS ts) FROM raw0), ticks AS (SELECT * FROM raw WHERE price > 0 AND qty > 0)"
+_DOUBLES["ingested_bars_1d"] = _BAR_DOUBLES
+_near("ingested_bars_1d", f"WITH {_INGESTED} {_bars_select('1d')}", lambda s, d: warehouse.current(s, _ingested(s, d).warehouse / "bars" / "1d").select(*BARS.names))
+_register(
+    "ingested_months",
+    f"""WITH {_ARCHIVES}, g AS (SELECT *, trade_id - lag(trade_id) OVER (PARTITION BY source_file ORDER BY source_row) AS gap FROM t)
+SELECT substr(source_file, 12, 7) AS year_month, 'done' AS status, 'reported' AS checkpoint, 'verified' AS verification_status, count(*)::BIGINT AS rows_seen, count(*) FILTER (NOT (price > 0 AND qty > 0))::BIGINT AS rows_rejected,
+  count(*) FILTER (price > 0 AND qty > 0)::BIGINT AS rows_written, count(*) FILTER (gap > 1)::BIGINT AS n_id_gaps, coalesce(sum(gap - 1) FILTER (gap > 1), 0)::BIGINT AS n_missing_ids,
+  min(trade_id) FILTER (price > 0 AND qty > 0) AS min_trade_id, max(trade_id) FILTER (price > 0 AND qty > 0) AS max_trade_id FROM g GROUP BY source_file""",
+    lambda s, d: _ledger_rows(s, _ingested(s, d)),
+)
+#: The sketch's quantile, at a place where no neighbour by rank has another value.
+_register(
+    "large_trades_sketch",
+    f"""WITH {_with_ticks("events")} SELECT symbol, trade_id, price, qty, quote_qty, epoch_us(ts) * 1000 AS trade_time_ns, is_buyer_maker FROM ticks WHERE qty >= (SELECT quantile_disc(qty, 0.955) FROM ticks)""",
+    lambda s, d: O.large_trades(_ticks("events", s, d), 0.955),
+)
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly bars of the events."""
     return QUERIES["bars_1h"](spark, folder)
