@@ -191,7 +191,9 @@ def choose_landmarks(docs: list[set[str]], y: np.ndarray, most: int) -> list[str
             for w in d & strong:
                 by_word[w].add(k)
     cover = {s: set().union(*(by_word[w] for w in ws)) for s, ws in inside.items()}
-    cover = {s: k for s, k in cover.items() if len(k) >= 3} or cover
+    # of many strings some are in three or four toxic documents and no other by chance
+    least = 3 if n_bad < 150 else 5
+    cover = {s: k for s, k in cover.items() if len(k) >= least} or cover
     other = "\n".join(good)
     share = n_bad / n_good
     chosen: list[str] = []
