@@ -120,6 +120,17 @@ def test_kernel_against_a_slow_version():
     assert got == pytest.approx(np.array([[slow_kernel(w, m) for m in marks] for w in words]), abs=1e-5)
 
 
+def test_landmarks_kernel_matrix_is_positive_semidefinite():
+    r = random.Random(4)
+    marks = sorted({"".join(r.choices("abcdé", k=r.randint(4, 8))) for _ in range(40)})
+    features = [slow_subsequences(m) for m in marks]
+    dot = lambda a, b: sum(w * b.get(key, 0) for key, w in a.items())
+    want = np.array([[dot(a, b) / math.sqrt(dot(a, a) * dot(b, b)) for b in features] for a in features])
+    gram = toxicity.Kernel(marks).gram()
+    assert gram == pytest.approx(want, abs=1e-5)
+    assert np.linalg.eigvalsh(gram**toxicity.DEGREE).min() > -1e-5
+
+
 def test_toxicity_against_a_slow_version(spark, make):
     texts, y = toxic_corpus(300)
     texts += ["an i.d.i.o.t on", "mor on the", None, ""]

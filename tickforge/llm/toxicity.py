@@ -7,7 +7,8 @@ remove it; words with more of them are seen a second time without separators
 and short neighbours also as one word.  Landmarks are strings typical of toxic labelled documents.  A
 document's value for a landmark is the largest kernel value among its words,
 taken to the power DEGREE; values for all landmarks are whitened by the
-landmarks' own kernel matrix (Nyström), and a linear machine on top is trained
+landmarks' own kernel matrix (Nyström; a matrix of cosines to a power, so it is
+positive semidefinite), and a linear machine on top is trained
 with the squared hinge loss and calibrated by a logistic curve.
 """
 
@@ -32,6 +33,8 @@ SPAN, DECAY, DEGREE = 6, 0.9, 4
 #: Kernel values below this count as none.
 FLOOR = 0.35
 BITS = 18
+#: Added to the eigenvalues of the landmarks' kernel matrix.
+JITTER = 0.05
 #: Distinct words that a worker remembers.
 CACHE = 600_000
 _GAPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
@@ -89,6 +92,7 @@ class Kernel:
     landmarks: list[str]
     slot: np.ndarray = field(init=False)
     table: np.ndarray = field(init=False)
+    own: np.ndarray = field(init=False)
 
     def __post_init__(self):
         r, x, w = best_of_each(*subsequences(self.landmarks), 1 << BITS)
@@ -97,9 +101,19 @@ class Kernel:
         self.slot[used] = np.arange(1, len(used) + 1)
         table = np.zeros((len(used) + 1, len(self.landmarks)), np.float32)
         table[at + 1, r] = w
-        self.table = table / np.maximum(1e-9, (table * table).sum(0))
+        #: Each landmark's own kernel value.
+        self.own = np.maximum(1e-9, (table * table).sum(0))
+        self.table = table / self.own
+
+    def gram(self) -> np.ndarray:
+        """Kernel values of the landmarks with each other, as cosines: positive semidefinite, as are its elementwise powers."""
+        k = self.shares(self.landmarks) * np.sqrt(self.own[None, :] / self.own[:, None])
+        return (k + k.T) / 2
 
     def __call__(self, strings: list[str]) -> np.ndarray:
+        return np.minimum(self.shares(strings), 1)
+
+    def shares(self, strings: list[str]) -> np.ndarray:
         out = np.zeros((len(strings), len(self.landmarks)), np.float32)
         for lo in range(0, len(strings), 8192):
             r, x, w = subsequences(strings[lo : lo + 8192])
@@ -109,7 +123,7 @@ class Kernel:
             if len(r):
                 starts = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
                 out[lo + r[starts]] = np.add.reduceat(self.table[at] * w[:, None], starts, axis=0)
-        return np.minimum(out, 1)
+        return out
 
 
 def best_of_each(r: np.ndarray, x: np.ndarray, w: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -278,10 +292,8 @@ def train(docs: list[set[str]], y: np.ndarray, prior: float, landmarks: int = 64
         more = varied([d for d, h, t in zip(docs, held, y, strict=True) if h == kept_back and t], marks) if kept_back in held[: len(docs)] else []
         docs, y, held = docs + more, np.append(y, np.ones(len(more), int)), np.append(held, np.full(len(more), kept_back))
     made = np.arange(len(docs)) >= n
-    gram = Kernel(marks)(marks)
-    gram = ((gram + gram.T) / 2) ** DEGREE
-    value, vector = np.linalg.eigh(gram)
-    whiten = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
+    value, vector = np.linalg.eigh(Kernel(marks).gram() ** DEGREE)
+    whiten = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0) + JITTER)) @ vector.T
     x = Features(marks)(docs) @ whiten
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     w, b = hinge(x[~held], y[~held], weight[~held])
