@@ -260,7 +260,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     sets of lower-cased (A-Z) word n-grams; component_id is the smallest doc_id
     reachable by links.  Null texts and texts without words have an empty set
     and no links.  Rows without doc_id link with nothing and get a null
-    component.  Rows that repeat a doc_id count as one document, by the first
+    component.  Rows that repeat a doc_id count as one document, by one
     of its texts.  An empty table gives an empty result.  Very long texts are
     taken whole, in one task each.  A pair just at the threshold links.  Other
     columns are not read, whatever their names.
