@@ -6,9 +6,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tickforge.llm import components, decontamination, jaccard_join, topk_search
+from tickforge.llm.textcore import string_buffers
 
 
 def near_copies(seed=4):
@@ -66,6 +68,35 @@ def test_join_cases(spark, make):
     assert jaccard_join.join(spark, make([])).count() == 0
 
 
+def test_sketches_lose_no_link():
+    r = random.Random(6)
+    words = [f"w{k}" for k in range(4000)]
+    base = [r.choice(words) for _ in range(400)]
+    texts = [" ".join(x if r.random() >= share else r.choice(words) for x in base) for share in (0, 0, 0.01, 0.02, 0.03, 0.04, 0.05, 0.08, 0.1, 0.2, 0.3) for _ in range(6)] + ["", "one two"]
+    data, off = string_buffers(pa.array(texts))
+    row, h = jaccard_join.ngram_sets(data, off, 5)
+    sets, size = sets_of(texts), np.bincount(row, minlength=len(texts))
+    a, b = np.triu_indices(len(texts), 1)
+    may, same = jaccard_join.compared(a, b, size, *jaccard_join.sketch(row, h, len(texts)), 80)
+    links = np.array([100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]) for x, y in zip(a, b, strict=True)])
+    assert may[links].all() and (same == [sets[x] == sets[y] for x, y in zip(a, b, strict=True)]).all()
+    assert 20 < links.sum() < (~links).sum() and may[~links].mean() < 0.2
+
+
+def test_what_is_sent_follows_the_input_alone():
+    # a document's pairs are in a few groups, whatever their number
+    a, b = np.zeros(5000, np.int64), np.arange(1, 5001)
+    assert len(np.unique(jaccard_join.group_of(a, b, 12))) == 12 and jaccard_join.group_of(a, b, 12).max() < jaccard_join.groups_of(12) == 78
+    # bytes of an n-gram with few and with many buckets
+    row, pos = np.divmod(np.arange(600_000), 300)
+    h = np.random.default_rng(1).integers(0, 2**63, len(row)).astype(np.uint64)
+    each = []
+    for n in (50, 600):
+        out = jaccard_join.Shared(n, 5)
+        each.append(sum(len(x) for batch in [*out.add(row, pos.astype(np.int32), h), *out.flush()] for x in batch["payload"].to_pylist()) / len(row))
+    assert max(each) < 6.5
+
+
 def test_components(spark):
     r = random.Random(0)
     edges = [(k, k + 1) for k in range(30)] + [(100, x) for x in range(101, 140)] + [(r.randint(200, 300), r.randint(200, 300)) for _ in range(60)]

@@ -7,7 +7,10 @@ all n-grams are compared, and those with too few shared ones drop out too.
 For the pairs that the lists of prefix n-grams then give, the order of hashes
 is cut into fragments: each fragment of the sets goes to a task of its own,
 which counts the partial overlaps of the pairs there, and a second shuffle
-brings the partial counts together and sums them per pair.
+brings the partial counts together and sums them per pair.  Before that, pairs
+are held against small sketches of their sets: a bound that no pair at the
+threshold misses drops most of them, and equal sets link at once, so that whole
+sets are only sent for what is left.
 
 Links inside a group of near copies are far too many to list, and components
 don't need them.  So round one cuts each list into classes of like sizes and
@@ -31,13 +34,15 @@ from pyspark.sql import functions as F
 from tickforge.llm import repeats
 from tickforge.llm import scratch as S
 from tickforge.llm.components import components
-from tickforge.llm.textcore import LOWER_VALUES, SPACE, Rolling, Words, row_chunks
+from tickforge.llm.textcore import LOWER_VALUES, SPACE, Rolling, Words, mix, row_chunks
 
 #: The order of hashes is cut into 2**FRAGMENT_BITS fragments.
 FRAGMENT_BITS = 3
 FRAGMENTS = 1 << FRAGMENT_BITS
-#: Kinds of packed rows: parts of sets, pairs, what pairs ask for, sizes of sets, partial counts.
-_SETS, _TWO, _ASKED, _SIZES, _PARTIAL = range(5)
+#: Kinds of packed rows: parts of sets, pairs, what pairs ask for, sizes of sets, partial counts, sketches, links.
+_SETS, _TWO, _ASKED, _SIZES, _PARTIAL, _SKETCHES, _LINKED = range(7)
+#: Bits of a set's sketch, and how many pairs are compared at once.
+SKETCH, COMPARED = 4096, 1 << 13
 #: The n-grams that stand last in the order are found in a sample of about so many documents: those in HOT of them or more.
 SAMPLE, HOT = 8000, 6
 BATCH = 1 << 20
@@ -45,6 +50,7 @@ BATCH = 1 << 20
 PAIRS = 1 << 17
 #: Marks labels among packed flags, which begin with a count.
 _LABELS = np.array([-1], np.int64).tobytes()
+_OTHER = np.uint64(0xA0761D6478BD642F)
 _PAIRS = "kind int, bucket int, payload binary"
 
 
@@ -114,11 +120,71 @@ def frequent(docs: DataFrame, n: int, total: int) -> tuple[np.ndarray, np.ndarra
     return h[order], c[order]
 
 
+class Shared:
+    """Gathers a block's n-grams, settles what repeats among them, yields packed rows.
+
+    A document goes by its rank among the block's, and a hash by its last 32
+    bits inside its bucket, so that an n-gram takes some six bytes however many
+    buckets there are.  Different n-grams of one bucket that end alike only make
+    more documents be compared.
+    """
+
+    def __init__(self, buckets: int, block: int):
+        self.n, self.block, self.held, self.size = buckets, block, [], 0
+
+    def add(self, rank: np.ndarray, pos: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((rank, pos, hashes))
+        self.size += len(rank)
+        if self.size >= BATCH:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            rank, pos, hashes = (np.concatenate(x) for x in zip(*self.held, strict=True))
+            by = np.argsort((rank << 32) + pos)
+            rank, pos, hashes = rank[by], pos[by], hashes[by]
+            order, again, new = repeats.repeated(rank, pos, hashes, None, None, False)
+            keep, many, head = np.sort(order[new]), np.zeros(len(rank), bool), np.array([self.block], np.int64).tobytes()
+            many[order] = again
+            rows = [(1, self.block % self.n, head + S.pack(rank[many], pos[many]))] if many.any() else []
+            for b, i in S.split_by((hashes[keep] >> np.uint64(32)) % np.uint64(self.n), self.n):
+                i = keep[i]
+                rows.append((0, b, head + S.pack(rank[i], pos[i], hashes[i].astype(np.uint32), many[i])))
+            yield repeats.as_batch(rows)
+        self.held, self.size = [], 0
+
+
+def settle_ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compares all entries of a partition; yields (block, payload) of the n-grams that several documents have, by rank and position."""
+    parts, hits = [], []
+    for batch in batches:
+        for kind, bucket, raw in zip(batch["kind"].to_pylist(), batch["bucket"].to_pylist(), batch["payload"].to_pylist(), strict=True):
+            rank, pos, h, many, _ = S.unpack(raw[8:], np.uint32)
+            at = (np.frombuffer(raw, np.int64, 1) << 32) + rank
+            if kind:
+                hits.append((at, pos))
+            else:
+                parts.append((at, pos, h.astype(np.uint64) + (np.uint64(bucket) << np.uint64(32)), many))
+    if parts:
+        at, pos, h, many = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
+        order, again, _ = repeats.repeated(at, pos, h, None, many, False)
+        hits.append((at[order[again]], pos[order[again]]))
+    if hits:
+        at, pos = (np.concatenate(x) for x in zip(*hits, strict=True))
+        order = np.lexsort((pos, at))
+        at, pos = at[order], pos[order]
+        block = at >> 32
+        cuts = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(at)) if len(at) else [0]
+        out = [(int(block[x]), S.pack(at[x:y] & 0xFFFFFFFF, pos[x:y])) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary())], names=["block", "payload"])
+
+
 class Lists:
     """Gathers (hash, doc, size, label); yields packed rows by hash, with local pairs beside them."""
 
-    def __init__(self, buckets: int, groups: int, stars: bool, percent: int):
-        self.n, self.groups, self.stars, self.percent, self.held, self.size = buckets, groups, stars, percent, [], 0
+    def __init__(self, buckets: int, cells: int, stars: bool, percent: int):
+        self.n, self.cells, self.stars, self.percent, self.held, self.size = buckets, cells, stars, percent, [], 0
 
     def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.held.append(columns)
@@ -132,7 +198,7 @@ class Lists:
             rows = []
             if self.stars:
                 keep, a, b = star(h, docs, size, self.percent)
-                rows += packed_pairs(a, b, self.groups)
+                rows += packed_pairs(a, b, self.cells)
                 h, docs, size, label = h[keep], docs[keep], size[keep], label[keep]
             for k, i in S.split_by((h >> np.uint64(32)) % np.uint64(self.n), self.n):
                 rows.append((0, k, S.pack(docs[i], size[i].astype(np.int32), h[i]) + (b"" if self.stars else label[i].tobytes())))
@@ -186,10 +252,20 @@ def unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
-def packed_pairs(a: np.ndarray, b: np.ndarray, groups: int) -> list[tuple]:
-    """Rows of kind 1 by the group of the first document."""
+def groups_of(cells: int) -> int:
+    return cells * (cells + 1) // 2
+
+
+def group_of(a: np.ndarray, b: np.ndarray, cells: int) -> np.ndarray:
+    """The group of each pair, by the cells of both documents: whatever a document is paired with, it is in one group for each cell at most."""
+    x, y = repeats.block_of(a, cells), repeats.block_of(b, cells)
+    return groups_of(np.maximum(x, y)) + np.minimum(x, y)
+
+
+def packed_pairs(a: np.ndarray, b: np.ndarray, cells: int) -> list[tuple]:
+    """Rows of kind 1 by group."""
     a, b = unique_pairs(a, b)
-    return [(1, g, a[i].tobytes() + b[i].tobytes()) for g, i in S.split_by(repeats.block_of(a, groups), groups)] if len(a) else []
+    return [(1, g, a[i].tobytes() + b[i].tobytes()) for g, i in S.split_by(group_of(a, b, cells), groups_of(cells))] if len(a) else []
 
 
 def read_pairs(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -222,7 +298,7 @@ def across(h: np.ndarray, docs: np.ndarray, size: np.ndarray, label: np.ndarray,
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def paired(groups: int, stars: bool, percent: int) -> Callable:
+def paired(cells: int, stars: bool, percent: int) -> Callable:
     """From the lists of a partition to (1, group, pairs)."""
 
     def f(batches):
@@ -240,10 +316,10 @@ def paired(groups: int, stars: bool, percent: int) -> Callable:
             parts.clear()
             if stars:
                 _, a, b = star(h, docs, size, percent)
-                yield repeats.as_batch(packed_pairs(a, b, groups))
+                yield repeats.as_batch(packed_pairs(a, b, cells))
             else:
                 for a, b in across(h, docs, size.astype(np.int64), label, percent):
-                    yield repeats.as_batch(packed_pairs(a, b, groups))
+                    yield repeats.as_batch(packed_pairs(a, b, cells))
 
     return f
 
@@ -269,8 +345,8 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     blocks, rows = texts.blocks, texts.rows()
     hot, weight = frequent(rows, n, rows.count())
     width = S.reducers(spark, blocks)
-    # pairs are dealt to so many groups that groups times fragments make as many tasks
-    groups = -(-width // FRAGMENTS)
+    # pairs are dealt to so many groups that groups times fragments make as many tasks at least
+    cells = next(c for c in range(1, width + 1) if groups_of(c) * FRAGMENTS >= width)
 
     def first_prefixes(batches):
         out = repeats.Sender(width, blocks, False)
@@ -287,23 +363,24 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
     S.release(spark)
 
     def whole_sets(left: pa.Table, right: pa.Table) -> pa.Table:
-        out, made = repeats.Sender(width, blocks, False), []
-        for ids, data, off in flagged_texts(left, right):
-            row, h = ngram_sets(data, off, n)
-            d = ids[row]
-            made += out.add(repeats.block_of(d, blocks), d, (np.arange(len(row)) - np.searchsorted(row, row)).astype(np.int32), h)
-        made += out.flush()
+        made = []
+        if len(left) and len(right):
+            out, known = Shared(width, left["block"][0].as_py()), np.unique(S.ids(left["doc_id"]))
+            for ids, data, off in flagged_texts(left, right):
+                row, h = ngram_sets(data, off, n)
+                made += out.add(np.searchsorted(known, ids)[row], (np.arange(len(row)) - np.searchsorted(row, row)).astype(np.int32), h)
+            made += out.flush()
         return pa.Table.from_batches(made or [repeats.as_batch([])])
 
     sends = texts.beside(seen, whole_sets, _PAIRS, "doc_id", "text")
-    shared = S.settle(spark, sends.repartitionById(width, F.col("bucket") % width).mapInArrow(repeats.settle_bucket(blocks, False), "block int, payload binary"), "shared")
+    shared = S.settle(spark, sends.repartitionById(width, F.col("bucket") % width).mapInArrow(settle_ranks, "block int, payload binary"), "shared")
     S.release(spark)
 
     def lists(stars: bool):
         """Prefix n-grams of the documents that share enough of their set with any others to link at all; labels come with the flags in round two."""
 
         def f(left: pa.Table, right: pa.Table) -> pa.Table:
-            out, made = Lists(width, groups, stars, percent), []
+            out, made = Lists(width, cells, stars, percent), []
             payloads = right["payload"].to_pylist()
             label_of = [p for p in payloads if p[:8] == _LABELS]
             flags = [p for p in payloads if p[:8] != _LABELS]
@@ -335,8 +412,11 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
 
     def linked(flags: DataFrame, stars: bool, name: str) -> DataFrame:
         sent = texts.beside(flags, lists(stars), _PAIRS, "doc_id", "text")
-        pairs = gathered(spark, sent.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(groups, stars, percent), _PAIRS), groups, blocks, name)
-        return overlaps(spark, texts, pairs, n, percent)
+        pairs = gathered(spark, sent.repartitionById(width, F.col("bucket") % width).mapInArrow(paired(cells, stars, percent), _PAIRS), groups_of(cells), blocks, name)
+        pairs = S.settle(spark, sketched(texts, pairs, n, percent), f"{name}_left")
+        S.release(spark)
+        links = pairs.where(F.col("kind") == _LINKED).select("payload").mapInArrow(unpacked_links, "a long, b long")
+        return overlaps(spark, texts, pairs, n, percent).unionByName(links)
 
     # Round one, then round two with the components so far.
     label = S.settle(spark, components(spark, linked(shared, True, "stars")), "label")
@@ -349,13 +429,14 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) ->
 
 
 def flagged_texts(left: pa.Table, right: pa.Table, with_flags: bool = False) -> Iterator[tuple]:
-    """(ids, bytes, offsets) of runs of those documents of a block that have flags, each document once; with (row, position) of the flags."""
+    """(ids, bytes, offsets) of runs of those documents of a block that have flags, each document once; with_flags: flags go by documents' ranks, and (row, position) of them come along."""
     if not len(left) or not len(right):
         return
     ids = S.ids(left["doc_id"])
     once = np.zeros(len(ids), bool)
-    once[np.unique(ids, return_index=True)[1]] = True
-    which, pos = repeats.flagged_rows(ids, right["payload"].to_pylist())
+    _, first, rank = np.unique(ids, return_index=True, return_inverse=True)
+    once[first] = True
+    which, pos = repeats.flagged_rows(rank if with_flags else ids, right["payload"].to_pylist())
     keep = once[which]
     which, pos = which[keep], pos[keep].astype(np.int64)
     order = np.argsort(which, kind="stable")
@@ -392,50 +473,122 @@ def gathered(spark: SparkSession, found: DataFrame, width: int, blocks: int, nam
             for g, raw in zip(b["bucket"].to_pylist(), b["payload"].to_pylist(), strict=True):
                 held.setdefault(g, []).append(raw)
         for g in sorted(held):
-            a, b = read_pairs(held.pop(g))
-            wanted = np.unique(np.concatenate([a, b]))
-            rows = [(1, g, a.tobytes() + b.tobytes())]
-            rows += [(2, int(slot[k]), S.pack(wanted[i], np.full(len(i), g, np.int32))) for k, i in S.split_by(repeats.block_of(wanted, blocks), blocks)]
-            yield repeats.as_batch(rows)
+            yield repeats.as_batch(asking(g, *read_pairs(held.pop(g)), slot))
 
     out = S.settle(spark, found.repartitionById(width, F.col("bucket") % width).mapInArrow(f, _PAIRS), name)
     S.release(spark)
     return out
 
 
+def asking(g: int, a: np.ndarray, b: np.ndarray, slot: np.ndarray) -> list[tuple]:
+    """A group's pairs (kind 1), and by block the documents that they ask for (kind 2)."""
+    wanted = np.unique(np.concatenate([a, b]))
+    return [(_TWO, g, a.tobytes() + b.tobytes())] + [(_ASKED, int(slot[k]), S.pack(wanted[i], np.full(len(i), g, np.int32))) for k, i in S.split_by(repeats.block_of(wanted, len(slot)), len(slot))]
+
+
+def sketch(row: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sketches, digests) of n sets.  Each n-gram turns one bit of its set's sketch, so two sketches differ in no more bits than their sets do in n-grams; digests are 128 bits of the whole set."""
+    bit, bits = ((h >> np.uint64(20)) % np.uint64(SKETCH)).astype(np.int64), []
+    for lo in range(0, n, 1024):
+        hi = min(n, lo + 1024)
+        x, y = np.searchsorted(row, [lo, hi])
+        bits.append(np.packbits((np.bincount((row[x:y] - lo) * SKETCH + bit[x:y], minlength=(hi - lo) * SKETCH) & 1).astype(bool).reshape(-1, SKETCH), axis=1))
+    total = np.zeros((2, len(h) + 1), np.uint64)
+    np.cumsum([mix(h), mix(h ^ _OTHER)], axis=1, out=total[:, 1:])
+    first = np.searchsorted(row, np.arange(n + 1))
+    return np.concatenate(bits) if bits else np.zeros((0, SKETCH // 8), np.uint8), (total[:, first[1:]] - total[:, first[:-1]]).T.copy()
+
+
+def compared(a: np.ndarray, b: np.ndarray, size: np.ndarray, bits: np.ndarray, digest: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pair may link, its sets are equal) of pairs of rows: sets that differ in d n-grams at least share (size + size - d) / 2 of them at most."""
+    may, same = np.zeros(len(a), bool), np.zeros(len(a), bool)
+    words = bits.view(np.uint64)
+    for k in range(0, len(a), COMPARED):
+        x, y = a[k : k + COMPARED], b[k : k + COMPARED]
+        both = size[x] + size[y]
+        most = (both - np.bitwise_count(words[x] ^ words[y]).sum(1, dtype=np.int64)) // 2
+        may[k : k + COMPARED] = 100 * most >= percent * (both - most)
+        same[k : k + COMPARED] = (size[x] == size[y]) & (digest[x] == digest[y]).all(1)
+    return may, same
+
+
+def unpacked_links(batches):
+    for batch in batches:
+        for raw in batch["payload"]:
+            a, b = np.frombuffer(raw.as_py(), np.int64).reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def asked_texts(left: pa.Table, right: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Iterator[tuple[int, np.ndarray]]]]:
+    """(ids, bytes, offsets, (group, rows that it asks for)) of runs of those documents of a block that pairs ask for, each document once."""
+    if not len(left) or not len(right):
+        return
+    ids = S.ids(left["doc_id"])
+    which, group = repeats.flagged_rows(ids, right["payload"].to_pylist())
+    # repeated rows of one document: the first is enough
+    want = np.unique(which)
+    want = want[np.sort(np.unique(ids[want], return_index=True)[1])]
+    own = np.isin(which, want)
+    back, group = np.searchsorted(want, which[own]), group[own]
+    part, ids = left["text"].take(pa.array(want)), ids[want]
+    for a, e, data, off in row_chunks(part):
+        own = (back >= a) & (back < e)
+        r, g = back[own] - a, group[own]
+        order = np.argsort(g, kind="stable")
+        r, g = r[order], g[order]
+        yield ids[a:e], data, off, ((k, r[np.searchsorted(g, k) : np.searchsorted(g, k, side="right")]) for k in np.unique(g).tolist())
+
+
+def sketched(texts: repeats.Texts, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose sketches allow a link, with what they ask for, by group; pairs of equal sets are links (kind _LINKED)."""
+    slot = S.slots(texts.blocks)
+
+    def made_of(left: pa.Table, right: pa.Table) -> pa.Table:
+        made = []
+        for ids, data, off, asked in asked_texts(left, right):
+            row, h = ngram_sets(data, off, n)
+            size, (bits, digest) = np.bincount(row, minlength=len(ids)), sketch(row, h, len(ids))
+            made += [(_SKETCHES, k, np.concatenate([ids[r, None].view(np.uint8), size[r, None].view(np.uint8), digest[r].view(np.uint8), bits[r]], axis=1).tobytes()) for k, r in asked]
+        return pa.Table.from_batches([repeats.as_batch(made)])
+
+    def left_over(t: pa.Table) -> pa.Table:
+        kinds, raws = t["kind"].to_pylist(), t["payload"].to_pylist()
+        a, b = read_pairs([r for k, r in zip(kinds, raws, strict=True) if k == _TWO])
+        rows = np.frombuffer(b"".join(r for k, r in zip(kinds, raws, strict=True) if k == _SKETCHES), np.uint8).reshape(-1, 32 + SKETCH // 8)
+        ids = rows[:, :8].copy().view(np.int64).ravel()
+        order = np.argsort(ids)
+        ids, rows = ids[order], rows[order]
+        size, digest, bits = rows[:, 8:16].copy().view(np.int64).ravel(), rows[:, 16:32].copy().view(np.uint64), rows[:, 32:].copy()
+        may, same = compared(np.searchsorted(ids, a), np.searchsorted(ids, b), size, bits, digest, percent)
+        out, more = [(_LINKED, 0, a[same].tobytes() + b[same].tobytes())] if same.any() else [], may & ~same
+        if more.any():
+            out += asking(t["bucket"][0].as_py(), a[more], b[more], slot)
+        return pa.Table.from_batches([repeats.as_batch(out)])
+
+    wanted = pairs.where(F.col("kind") == _ASKED).select(F.col("bucket").alias("block"), "payload")
+    rows = texts.beside(wanted, made_of, _PAIRS, "doc_id", "text").unionByName(pairs.where(F.col("kind") == _TWO))
+    return rows.groupBy("bucket").applyInArrow(left_over, _PAIRS)
+
+
 def segments(texts: repeats.Texts, pairs: DataFrame, n: int) -> DataFrame:
     """The sets that pairs ask for, cut into fragments: parts by (group, fragment), and the sets' sizes with the first."""
 
     def made_of(left: pa.Table, right: pa.Table) -> pa.Table:
         made = []
-        if len(left) and len(right):
-            ids = S.ids(left["doc_id"])
-            which, group = repeats.flagged_rows(ids, right["payload"].to_pylist())
-            # repeated rows of one document: the first is enough
-            want = np.unique(which)
-            want = want[np.sort(np.unique(ids[want], return_index=True)[1])]
-            own = np.isin(which, want)
-            back, group = np.searchsorted(want, which[own]), group[own]
-            part, ids = left["text"].take(pa.array(want)), ids[want]
-            for a, e, data, off in row_chunks(part):
-                row, h = ngram_sets(data, off, n)
-                size = np.bincount(row, minlength=e - a)
-                first = np.append(0, np.cumsum(size))
-                own = (back >= a) & (back < e)
-                r, g = back[own] - a, group[own]
-                order = np.argsort(g, kind="stable")
-                r, g = r[order], g[order]
-                for k in np.unique(g).tolist():
-                    rs = r[np.searchsorted(g, k) : np.searchsorted(g, k, side="right")]
-                    w, i = S.ranges(first[rs], first[rs + 1])
-                    d, x = ids[a:e][rs], h[i]
-                    parts = dict(S.split_by((x >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64), FRAGMENTS))
-                    sizes = np.array([len(d)], np.int64).tobytes() + d.tobytes() + size[rs].astype(np.int64).tobytes()
-                    for f in range(FRAGMENTS):
-                        at = parts.get(f, np.zeros(0, np.int64))
-                        if len(at) or not f:
-                            # the first fragment brings the sizes of the sets along
-                            made.append((_SETS, k * FRAGMENTS + f, (b"" if f else sizes) + S.pack(d[w[at]], np.zeros(len(at), np.int32), x[at])))
+        for ids, data, off, asked in asked_texts(left, right):
+            row, h = ngram_sets(data, off, n)
+            size = np.bincount(row, minlength=len(ids))
+            first = np.append(0, np.cumsum(size))
+            for k, rs in asked:
+                w, i = S.ranges(first[rs], first[rs + 1])
+                d, x = ids[rs], h[i]
+                parts = dict(S.split_by((x >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64), FRAGMENTS))
+                sizes = np.array([len(d)], np.int64).tobytes() + d.tobytes() + size[rs].astype(np.int64).tobytes()
+                for f in range(FRAGMENTS):
+                    at = parts.get(f, np.zeros(0, np.int64))
+                    if len(at) or not f:
+                        # the first fragment brings the sizes of the sets along
+                        made.append((_SETS, k * FRAGMENTS + f, (b"" if f else sizes) + S.pack(d[w[at]], np.zeros(len(at), np.int32), x[at])))
         return pa.Table.from_batches([repeats.as_batch(made)])
 
     wanted = pairs.where(F.col("kind") == _ASKED).select(F.col("bucket").alias("block"), "payload")
