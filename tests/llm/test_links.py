@@ -219,3 +219,53 @@ def test_search_reads_fewer_postings_than_there_are(spark, make):
     best = sorted((round(s, 9), k) for s, k in want)[:5]
     assert [-s for s, _ in best] == pytest.approx(list(score), abs=1e-8)
     assert len(shard.search(terms, weights, 5, floor=1e9)[0]) == 0
+
+
+@pytest.mark.parametrize(("block", "dense", "cells", "batch"), [(2048, 40, 24_000_000, 128), (64, 10, 24_000_000, 7), (64, 40, 640, 128), (1, 1, 10**6, 3)])
+def test_queries_searched_together_get_what_each_gets_alone(spark, make, monkeypatch, block, dense, cells, batch):
+    for name, x in (("BLOCK", block), ("DENSE", dense), ("CELLS", cells), ("BATCH", batch)):
+        monkeypatch.setattr(topk_search, name, x)
+    r = random.Random(21)
+    # two languages without a common word, and copies, whose scores tie
+    texts = [" ".join(f"{'ab'[k % 2]}{int(r.paretovariate(0.7)) % 500}" for _ in range(r.randint(0, 60))) for k in range(700)]
+    texts += texts[:5] * 20
+    row = topk_search.build_index(make(texts).select("doc_id", "text").coalesce(1)).collect()[0]
+    shard = topk_search.Shard(row.terms, row.counts, row.postings, row.words / row.docs)
+    ids = lambda t: topk_search.term_counts(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[1]
+    df = Counter(int(h) for t in texts for h in ids(t))
+    norm = {k: 1.2 * (0.25 + 0.75 * len(t.split()) / (row.words / row.docs)) for k, t in enumerate(texts)}
+    weight = lambda h: math.log(1 + (len(texts) - df[h] + 0.5) / (df[h] + 0.5))
+    tf = [Counter({int(ids(w)[0]): c for w, c in Counter(t.split()).items()}) for t in texts]
+    queries = [ids(texts[q]) for q in range(0, 800, 9)] + [ids("zzz"), ids("")]
+    floors, want = [], []
+    for j, t in enumerate(queries):
+        own = [int(h) for h in t]
+        s = sorted((-round(x, 9), k) for k, c in enumerate(tf) if (x := sum(weight(h) * c[h] * 2.2 / (c[h] + norm[k]) for h in own if c[h])))
+        floors.append((0.0, -s[3][0] - 1e-7, -s[-1][0])[j % 3] if len(s) > 9 else 0.0)
+        want.append([(k, -x) for x, k in s[:6] if -x >= floors[-1]])
+    got = []
+    cuts = topk_search.batches_of([len(t) for t in queries])
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        got += shard.search_all([(shard.places(t), np.array([weight(int(h)) for h in t])) for t in queries[lo:hi]], 6, np.array(floors[lo:hi]))
+    assert len(got) == len(want) and sum(map(len, want)) > 300
+    for (docs, score), own in zip(got, want, strict=True):
+        assert [x for _, x in own] == pytest.approx(score.tolist(), abs=2e-9)
+        assert sorted(k for k, x in own if x > own[-1][1] + 1e-8) == sorted(k for k, x in zip(docs.tolist(), score.tolist(), strict=True) if x > own[-1][1] + 1e-8)
+
+
+def test_search_passes_over_blocks_that_cannot_reach_the_floor(spark, make):
+    r = random.Random(4)
+    # short texts of common words beside long ones of rare words: under a floor, only the latter are read
+    texts = [" ".join(r.choice("abcd") for _ in range(r.randint(3, 9))) for _ in range(5000)] + [" ".join(f"x{r.randint(0, 40)}" for _ in range(40)) + " a b" for _ in range(60)]
+    row = topk_search.build_index(make(texts).select("doc_id", "text").coalesce(1)).collect()[0]
+    shard = topk_search.Shard(row.terms, row.counts, row.postings, row.words / row.docs)
+    weights = np.log(1 + 5060 / np.maximum(np.frombuffer(topk_search._un(row.counts, np.int32), np.int32), 1))
+    all_lists = np.arange(len(shard.terms))
+    free = shard.search_all([(all_lists, weights)], 5, np.zeros(1))[0]
+    floor = float(free[1][-1])
+    before = shard.scored
+    docs, score = shard.search_all([(all_lists, weights)], 5, np.array([floor]))[0]
+    assert docs.tolist() == free[0].tolist() and score.tolist() == free[1].tolist()
+    assert shard.scored - before < len(shard.doc) / 3
+    # nothing below the floor is returned
+    assert shard.search(shard.terms, weights, 5, floor + 1e-6)[1].tolist() == [x for x in score if x >= floor + 1e-6]

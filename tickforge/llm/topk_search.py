@@ -1,14 +1,14 @@
 """Exact top-k search: BM25 over an inverted index with block-max WAND.
 
 Each shard (a run of documents) has its own inverted index in document order;
-each list knows its largest impact, and the largest in each block of BLOCK
-documents.  Under a floor, the k-th best score known so far, the lists' maxima
-give the pivot: documents that only occur in weaker lists cannot reach the
-floor and are never scored.  Block maxima rule out more of the others, and those
-left are scored from the strongest list on until they cannot reach the floor.
-A floor starts from a few documents of the strongest lists and rises from shard
-to shard of a task.  Document frequencies, the number of documents and their
-mean length are those of all shards, so shards' results merge exactly.
+each list knows its largest impact in each block of BLOCK like documents.  Under
+a floor, the k-th best score known so far, block maxima rule out the blocks that
+cannot reach it.  In the others rare terms are added first; where documents can
+still reach the floor with the maxima of the block's frequent terms, those are
+added by one matrix product for many like queries.  What is left is scored
+exactly.  A floor rises from block to block, and from shard to shard of a task.
+Document frequencies, the number of documents and their mean length are those of
+all shards, so shards' results merge exactly.
 """
 
 from __future__ import annotations
@@ -23,13 +23,16 @@ from tickforge.llm import scratch as S
 from tickforge.llm.textcore import LOWER_VALUES, SPACE, U64, Words, row_chunks
 
 K1, B = 1.2, 0.75
-BLOCK = 64
+#: Documents of a block; entries of at least one in DENSE of them are dense rows, for at most CELLS cells of a shard.
+BLOCK, DENSE, CELLS = 2048, 40, 24_000_000
 #: Documents and postings of one shard, about, and terms of one round of queries.
-SHARD, POSTINGS, ROUND_TERMS = 8192, 1 << 22, 2_000_000
-#: Shards that a task searches one after the other.
-TOGETHER = 4
-#: Share of a query's whole bound that rounded sums may be off by.
-SLACK = 2e-5
+SHARD, POSTINGS, ROUND_TERMS = 8192, 1 << 22, 6_000_000
+#: Shards that a task searches one after the other, at least and at most.
+TOGETHER = 4, 32
+#: Queries that a shard takes together, and their terms, about; how much dearer a posting is that is read for one document alone.
+BATCH, BATCH_TERMS, ALONE = 128, 1 << 17, 8
+#: Share of a query's whole bound that each addition may be off by (single precision, rounded up).
+ROUNDED = 7e-8
 _SHARD_SCHEMA = "docs long, words long, terms binary, counts binary, postings binary"
 
 
@@ -100,15 +103,20 @@ def build_index(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(f, _SHARD_SCHEMA)
 
 
-def kth(scores: np.ndarray, k: int) -> float:
-    """The k-th largest, or 0."""
-    return float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) > k else 0.0
+def kth(scores: np.ndarray, k: int) -> np.ndarray:
+    """At most the k-th largest of each row: that of the larger ones of documents far apart."""
+    while (half := scores.shape[1] // 2) >= 32 * k:
+        scores = np.maximum(scores[:, :half], scores[:, half : 2 * half])
+    return np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.zeros(len(scores), np.float32)
 
 
 class Shard:
     """The index of one shard, its lists by term and, of the same postings, by document.
 
-    ``scored`` counts the postings that searches have read.
+    A list's postings in one block are an entry.  Entries that hold a good part of
+    their block's documents are kept as dense rows, which a matrix product reads
+    for many queries at once.  ``scored`` counts the postings that searches have
+    read.
     """
 
     def __init__(self, terms: bytes, counts: bytes, postings: bytes, mean: float):
@@ -117,105 +125,155 @@ class Shard:
         part = [postings[at[k] : at[k + 1]] for k in range(4)]
         self.terms, size = _un(terms, U64), _un(counts, np.int32)
         self.ids, lens = _un(part[0], np.int64), _un(part[1], np.int32)
-        self.doc, tf = np.cumsum(_un(part[2], np.int32), dtype=np.int64), _un(part[3], np.int32).astype(np.float64)
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lens[self.doc] / mean))
-        self.first = np.append(0, np.cumsum(size, dtype=np.int64))
+        self.doc, tf = np.cumsum(_un(part[2], np.int32), dtype=np.int32), _un(part[3], np.int32)
         self.scored = 0
         if not len(self.doc):
             return
-        self.top = np.maximum.reduceat(self.impact, self.first[:-1])
-        # block maxima: one entry for each term and block in which it occurs
-        term, block = np.repeat(np.arange(len(size), dtype=np.int32), size), self.doc // BLOCK
-        start = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])))
-        self.block, self.most = block[start], np.maximum.reduceat(self.impact, start)
-        self.entry = np.searchsorted(start, self.first)
+        self.norm = K1 * (1 - B + B * lens / mean)
+        self.impact = (tf * (K1 + 1) / (tf + self.norm[self.doc])).astype(np.float32)
+        # entries, with the largest impact of each
+        term, block = np.repeat(np.arange(len(size), dtype=np.int32), size), self.doc // np.int32(BLOCK)
+        self.start = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])))
+        self.block, self.most = block[self.start], np.maximum.reduceat(self.impact, self.start)
+        self.entry = np.searchsorted(self.start, np.append(0, np.cumsum(size, dtype=np.int64)))
+        self.top = np.maximum.reduceat(self.most, self.entry[:-1]).astype(np.float64)
+        self.end = np.append(self.start[1:], len(self.doc))
         # the same postings by document
         by = np.argsort(self.doc.astype(np.uint16) if len(self.ids) <= 1 << 16 else self.doc, kind="stable")
-        self.own_term, self.own_impact = term[by], self.impact[by]
+        self.own_term, self.own_tf = term[by], tf[by]
         self.own = np.append(0, np.cumsum(np.bincount(self.doc, minlength=len(self.ids))))
         self.weight = np.zeros(len(size))
-        # long lists once more as rows of all documents
-        frequent = np.flatnonzero(size >= max(8, len(self.ids) // 40))
-        self.row = np.full(len(size), -1, np.int32)
-        self.row[frequent] = np.arange(len(frequent))
-        self.dense = np.zeros((len(frequent), len(self.ids)), np.float32)
-        which, p = S.ranges(self.first[frequent], self.first[frequent + 1])
-        self.dense[which, self.doc[p]] = self.impact[p]
-
-    def added(self, total: np.ndarray, lists: np.ndarray, w: np.ndarray) -> None:
-        """Adds whole lists to the documents' totals."""
-        lo, hi = self.first[lists], self.first[lists + 1]
-        self.scored += int((hi - lo).sum())
-        row = self.row[lists]
-        there, step = row >= 0, np.empty_like(total)
-        for r, x in zip(row[there].tolist(), w[there].astype(np.float32), strict=True):
-            np.multiply(self.dense[r], x, out=step)
-            np.add(total, step, out=total)
-        lo, hi, w = lo[~there], hi[~there], w[~there]
-        if len(lo):
-            _, p = S.ranges(lo, hi)
-            total += np.bincount(self.doc[p], weights=self.impact[p] * np.repeat(w, hi - lo), minlength=len(total)).astype(np.float32)
-
-    def lift(self, lists: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """The most that lists can add to a document of each block."""
-        lo, hi = self.entry[lists], self.entry[lists + 1]
-        _, e = S.ranges(lo, hi)
-        return np.bincount(self.block[e], weights=self.most[e] * np.repeat(w, hi - lo), minlength=-(-len(self.ids) // BLOCK))
+        # dense rows of each block, of the fullest entries where not all have room
+        self.blocks = -(-len(self.ids) // BLOCK)
+        width = np.minimum(BLOCK, len(self.ids) - np.arange(self.blocks) * BLOCK)
+        each = self.end - self.start
+        full = np.flatnonzero(each >= np.maximum(8, width // DENSE)[self.block])
+        if len(full) * BLOCK > CELLS:
+            full = np.sort(full[np.argsort(-each[full], kind="stable")[: CELLS // BLOCK]])
+        self.row = np.full(len(self.start), -1, np.int32)
+        self.dense = []
+        for b, x in enumerate(width.tolist()):
+            e = full[self.block[full] == b]
+            self.row[e] = np.arange(len(e))
+            rows = np.zeros((len(e), x), np.float32)
+            which, p = S.ranges(self.start[e], self.end[e])
+            rows[which, self.doc[p] - b * BLOCK] = self.impact[p]
+            self.dense.append(rows)
+
+    def places(self, terms: np.ndarray) -> np.ndarray:
+        """The list of each term, or -1."""
+        i = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return np.where(self.terms[i] == terms, i, -1)
 
     def exact(self, docs: np.ndarray) -> np.ndarray:
         """Scores of documents under the weights in self.weight, each summed in the order of terms."""
         which, p = S.ranges(self.own[docs], self.own[docs + 1])
         self.scored += len(p)
-        return np.bincount(which, weights=self.own_impact[p] * self.weight[self.own_term[p]], minlength=len(docs))
+        w = self.weight[self.own_term[p]]
+        asked = np.flatnonzero(w)
+        which, p, w = which[asked], p[asked], w[asked]
+        tf = self.own_tf[p]
+        return np.bincount(which, weights=tf * (K1 + 1) / (tf + self.norm[docs][which]) * w, minlength=len(docs))
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """(document, score) of the shard's k best that reach floor, scores rounded to nine places, ties by doc_id; terms ascending.
-
-        Block-max WAND with all documents of the shard as cursors at once.  Lists
-        are taken from the largest maximum down.  Documents found only in lists
-        after the pivot, whose maxima together stay below the floor, are never
-        touched; of the others, those in blocks whose maxima cannot lift them to
-        the floor go next; the rest are scored list by list and go as soon as
-        what is left cannot lift them.
+        """(document, score) of the shard's k best that reach floor, scores rounded to nine places, ties by doc_id; terms ascending."""
+        return self.search_all([(self.places(terms), weights)], k, np.array([floor]))[0]
+
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, floors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """search for several queries, of which each has its lists (-1: none) and their weights.
+
+        Block-max WAND with all documents of the shard as cursors at once.  Blocks
+        whose maxima together stay below a query's floor are never touched.  In the
+        others, short entries are added first; where no document can reach the
+        floor with the maxima of its block's dense rows, or few can, those rows are
+        not read.  They are for the other queries together, from the blocks that
+        promise most on, with floors that rise from block to block.  What can
+        still reach the floor at the end is scored exactly.
         """
-        i = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        there = self.terms[i] == terms
-        i, w = i[there], weights[there]
-        if not len(i):
-            return np.zeros(0, np.int64), np.zeros(0)
-        self.weight[i] = w
-        bound = w * self.top[i]
-        order = np.argsort(-bound, kind="stable")
-        lists, w, bound = i[order], w[order], bound[order]
-        left = np.append(np.cumsum(bound[::-1])[::-1], 0.0)  # what the lists from here on can add
-        size = np.append(0, np.cumsum(self.first[lists + 1] - self.first[lists]))  # postings before each list
-        total, slack = np.zeros(len(self.ids), np.float32), SLACK * left[0]
-        # the strongest lists: an eighth of all postings, or all that hold pivots
-        pivot = int(np.count_nonzero(left[:-1] >= floor - slack))
-        at = min(pivot, max(1, int(np.searchsorted(size, size[-1] // 8, side="right")) - 1))
-        self.added(total, lists[:at], w[:at])
-        floor = max(floor, kth(total, k))  # scores so far are lower bounds
-        pivot = int(np.count_nonzero(left[:-1] >= floor - slack))
-        if pivot > at:
-            self.added(total, lists[at:pivot], w[at:pivot])
-            at = pivot
-        found = np.flatnonzero(total >= max(floor - slack - left[at], 1e-30))
-        if at < len(lists):
-            found = found[total[found] + self.lift(lists[at:], w[at:])[found // BLOCK] >= floor - slack]
-        while at < len(lists) and len(found) > 2 * k:
-            many = len(found) > len(total) // 16 or len(lists) - at < 8
-            to = len(lists) if many else max(at + 1, int(np.count_nonzero(left[:-1] > left[at] / 2)))
-            self.added(total, lists[at:to], w[at:to])
-            at = to
-            now = total[found]
-            floor = max(floor, kth(now, k))
-            found = found[now >= floor - slack - left[at]]
-        score = np.round(self.exact(found), 9)
-        self.weight[i] = 0
-        docs = self.ids[found]
-        best = np.lexsort((docs, -score))[:k]
-        best = best[score[best] > 0]
-        return docs[best], score[best]
+        nq, nd = len(queries), len(self.ids)
+        none = np.zeros(0, np.int64), np.zeros(0)
+        lists = np.concatenate([i for i, _ in queries])
+        q = np.repeat(np.arange(nq), [len(i) for i, _ in queries])
+        w = np.concatenate([x for _, x in queries])
+        there = lists >= 0
+        lists, q, w = lists[there], q[there], w[there]
+        if not len(lists):
+            return [none] * nq
+        cut = np.searchsorted(q, np.arange(nq + 1))
+        # what rounded sums may be off by: an error of 2**-24 for each addition
+        slack = ROUNDED * (np.diff(cut) + 8) * np.bincount(q, weights=w * self.top[lists], minlength=nq) + 1e-9
+        which, e = S.ranges(self.entry[lists], self.entry[lists + 1])
+        cell, x = q[which] * self.blocks + self.block[e], w[which]
+        most = np.bincount(cell, weights=x * self.most[e], minlength=nq * self.blocks)
+        floor = floors.astype(np.float64)
+        open_ = np.flatnonzero((most >= np.repeat(floor - slack, self.blocks))[cell])
+        e, cell, x = e[open_], cell[open_], x[open_]
+        # short entries
+        dense = self.row[e] >= 0
+        short = np.flatnonzero(~dense)
+        lo = self.start[e[short]]
+        each = self.end[e[short]] - lo
+        p = np.repeat(lo - np.cumsum(each) + each, each)
+        p += np.arange(len(p))
+        self.scored += len(p)
+        total = np.bincount(np.repeat(cell[short] // self.blocks * nd, each) + self.doc[p], weights=np.repeat(x[short], each) * self.impact[p], minlength=nq * nd).astype(np.float32).reshape(nq, nd)
+        low = np.flatnonzero(np.count_nonzero(total > floor[:, None].astype(np.float32), axis=1) >= k)
+        floor[low] = np.maximum(floor[low], kth(total[low], k) - slack[low])
+        # dense rows, block by block
+        e, cell, x = e[dense], cell[dense], x[dense]
+        by = np.argsort(cell % self.blocks, kind="stable")
+        e, cell, x = e[by], cell[by], x[by]
+        rest = np.bincount(cell, weights=x * self.most[e], minlength=nq * self.blocks).reshape(nq, self.blocks)
+        sizes = np.bincount(cell, weights=self.end[e] - self.start[e], minlength=nq * self.blocks).reshape(nq, self.blocks)
+        alone = ALONE * len(self.doc) / nd
+        at = np.searchsorted(cell % self.blocks, np.arange(self.blocks + 1))
+        best = np.zeros((nq, k), np.float32)
+        for b in np.argsort(-rest.sum(0), kind="stable"):
+            part, lo, hi = total[:, b * BLOCK : (b + 1) * BLOCK], at[b], at[b + 1]
+            if lo == hi:
+                continue
+            need = floor - slack - rest[:, b]
+            maybe = np.flatnonzero((rest[:, b] > 0) & (part.max(1) >= need))
+            maybe = maybe[np.count_nonzero(part[maybe] >= need[maybe, None].astype(np.float32), axis=1) * alone > sizes[maybe, b]]
+            if not len(maybe):
+                continue
+            to = np.full(nq, -1)
+            to[maybe] = np.arange(len(maybe))
+            i = to[cell[lo:hi] // self.blocks]
+            read = np.flatnonzero(i >= 0)
+            i, r = i[read], self.row[e[lo:hi][read]]
+            used = np.flatnonzero(np.bincount(r, minlength=len(self.dense[b])))
+            back = np.zeros(len(self.dense[b]), np.int64)
+            back[used] = np.arange(len(used))
+            weight = np.zeros((len(maybe), len(used)), np.float32)
+            weight[i, back[r]] = x[lo:hi][read]
+            now = part[maybe] + weight @ (self.dense[b] if len(used) == len(back) else self.dense[b][used])
+            self.scored += int((self.end[e[lo:hi][read]] - self.start[e[lo:hi][read]]).sum())
+            part[maybe] = now
+            rest[maybe, b] = 0
+            # the k best of the blocks read so far
+            up = np.flatnonzero(now.max(1) > np.maximum(best[maybe].min(1), floor[maybe]))
+            rows = maybe[up]
+            best[rows] = np.partition(np.concatenate([best[rows], now[up]], axis=1), -k, axis=1)[:, -k:]
+            floor[rows] = np.maximum(floor[rows], best[rows].min(1) - slack[rows])
+        # a document found nowhere is no result
+        need = np.maximum((floor - slack)[:, None] - rest, 1e-30).astype(np.float32)
+        rows, docs = np.nonzero(total >= np.repeat(need, BLOCK, axis=1)[:, :nd])
+        out, ends = [], np.searchsorted(rows, np.arange(nq + 1))
+        for j in range(nq):
+            found = docs[ends[j] : ends[j + 1]]
+            if not len(found):
+                out.append(none)
+                continue
+            i = lists[cut[j] : cut[j + 1]]
+            self.weight[i] = w[cut[j] : cut[j + 1]]
+            score = np.round(self.exact(found), 9)
+            self.weight[i] = 0
+            ids = self.ids[found]
+            order = np.lexsort((ids, -score))[:k]
+            order = order[(score[order] > 0) & (score[order] >= floors[j])]
+            out.append((ids[order], score[order]))
+        return out
 
 
 def search(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -258,6 +316,17 @@ def search(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = 10
     return found.select("query_id", F.posexplode("best").alias("pos", "b")).select("query_id", (F.col("pos") + 1).alias("rank"), F.col("b.doc_id").alias("doc_id"), (-F.col("b.minus")).alias("score"))
 
 
+def batches_of(sizes: list[int]) -> list[int]:
+    """Where batches of queries of these sizes begin, and the end of the last."""
+    cuts, held = [0], 0
+    for j, size in enumerate(sizes):
+        if j - cuts[-1] == BATCH or (j > cuts[-1] and held + size > BATCH_TERMS):
+            cuts.append(j)
+            held = 0
+        held += size
+    return [*cuts, len(sizes)] if sizes else [0]
+
+
 def merged(rows: DataFrame, k: int, *keys: str) -> DataFrame:
     """The k best of all lists of a key."""
     return rows.groupBy(*keys).agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
@@ -289,11 +358,15 @@ def one_round(index: DataFrame, queries: list[tuple[int, np.ndarray]], shards: i
     for x in index.select("terms", "counts").mapInArrow(frequencies, "piece int, payload binary").groupBy("piece").applyInArrow(add, "piece int, payload binary").toLocalIterator():
         own = _un(x["payload"], np.int64)
         df[x["piece"] * piece : x["piece"] * piece + len(own)] = own
-    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    asked = spark.sparkContext.broadcast([(q, t, idf[np.searchsorted(vocabulary, t)]) for q, t in queries])
+    # like queries side by side, by their two most widespread terms; a query's terms go by their place in the vocabulary
+    placed = [(q, np.searchsorted(vocabulary, t).astype(np.int32)) for q, t in queries]
+    placed.sort(key=lambda x: (*x[1][np.argsort(-df[x[1]], kind="stable")[:2]].tolist(), len(x[1]), x[0]))
+    asked = spark.sparkContext.broadcast((placed, batches_of([len(i) for _, i in placed]), np.log(1 + (n - df + 0.5) / (df + 0.5))))
 
     def best(batches):
         # what a query has found in a task's first shards is its floor in the others
+        queries, cuts, idf = asked.value
+        floors = np.zeros(len(queries))
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         none = np.zeros(0, np.int64), np.zeros(0)
         for b in batches:
@@ -301,17 +374,21 @@ def one_round(index: DataFrame, queries: list[tuple[int, np.ndarray]], shards: i
                 shard = Shard(t, c, p, mean)
                 if not len(shard.terms):
                     continue
-                for j, (_, terms, weights) in enumerate(asked.value):
-                    docs, score = held.get(j, none)
-                    more, own = shard.search(terms, weights, k, float(score[k - 1]) if len(score) >= k else 0.0)
-                    if len(more):
-                        docs, score = np.concatenate([docs, more]), np.concatenate([score, own])
-                        order = np.lexsort((docs, -score))[:k]
-                        held[j] = docs[order], score[order]
+                place = shard.places(known.value)
+                for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                    found = shard.search_all([(place[i], idf[i]) for _, i in queries[lo:hi]], k, floors[lo:hi])
+                    for j, (more, own) in enumerate(found, lo):
+                        if len(more):
+                            docs, score = held.get(j, none)
+                            docs, score = np.concatenate([docs, more]), np.concatenate([score, own])
+                            order = np.lexsort((docs, -score))[:k]
+                            held[j] = docs[order], score[order]
+                            if len(order) >= k:
+                                floors[j] = score[order[-1]]
         if held:
             from pyspark import TaskContext
 
-            found = [(asked.value[j][0], *held[j]) for j in sorted(held)]
+            found = [(queries[j][0], *held[j]) for j in sorted(held)]
             cuts = np.cumsum([0, *(len(f[1]) for f in found)])
             inner = pa.StructArray.from_arrays([pa.array(-np.concatenate([f[2] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["minus", "doc_id"])
             lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), inner)
@@ -319,5 +396,6 @@ def one_round(index: DataFrame, queries: list[tuple[int, np.ndarray]], shards: i
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([part] * len(found), pa.int32()), lists], names=["query_id", "part", "best"])
 
     # tasks' lists meet in two steps, so that no key gathers those of all tasks
-    lists = index.select("terms", "counts", "postings").repartition(-(-shards // TOGETHER) or 1).mapInArrow(best, "query_id long, part int, best array<struct<minus:double,doc_id:bigint>>")
+    together = min(max(TOGETHER[0], shards // (2 * spark.sparkContext.defaultParallelism)), TOGETHER[1])
+    lists = index.select("terms", "counts", "postings").repartition(-(-shards // together) or 1).mapInArrow(best, "query_id long, part int, best array<struct<minus:double,doc_id:bigint>>")
     return merged(merged(lists, k, "query_id", "part"), k, "query_id")
