@@ -30,7 +30,9 @@ SHARD, POSTINGS, ROUND_TERMS = 8192, 1 << 22, 6_000_000
 #: Shards that a task searches one after the other, at least and at most.
 TOGETHER = 4, 32
 #: Queries that a shard takes together, and their terms, about; how much dearer a posting is that is read for one document alone.
-BATCH, BATCH_TERMS, ALONE = 128, 1 << 17, 8
+BATCH, BATCH_TERMS, ALONE = 256, 1 << 18, 8
+#: How much dearer a posting is than a cell of a matrix product.
+FEW = 500
 #: Share of a query's whole bound that each addition may be off by (single precision, rounded up).
 ROUNDED = 7e-8
 _SHARD_SCHEMA = "docs long, words long, terms binary, counts binary, postings binary"
@@ -216,7 +218,8 @@ class Shard:
         p = np.repeat(lo - np.cumsum(each) + each, each)
         p += np.arange(len(p))
         self.scored += len(p)
-        total = np.bincount(np.repeat(cell[short] // self.blocks * nd, each) + self.doc[p], weights=np.repeat(x[short], each) * self.impact[p], minlength=nq * nd).astype(np.float32).reshape(nq, nd)
+        total = np.zeros((nq, nd), np.float32)
+        np.add.at(total.reshape(-1), np.repeat(cell[short] // self.blocks * nd, each) + self.doc[p], np.repeat(x[short].astype(np.float32), each) * self.impact[p])
         low = np.flatnonzero(np.count_nonzero(total > floor[:, None].astype(np.float32), axis=1) >= k)
         floor[low] = np.maximum(floor[low], kth(total[low], k) - slack[low])
         # dense rows, block by block
@@ -241,14 +244,22 @@ class Shard:
             to[maybe] = np.arange(len(maybe))
             i = to[cell[lo:hi] // self.blocks]
             read = np.flatnonzero(i >= 0)
-            i, r = i[read], self.row[e[lo:hi][read]]
-            used = np.flatnonzero(np.bincount(r, minlength=len(self.dense[b])))
-            back = np.zeros(len(self.dense[b]), np.int64)
+            i, u, v = i[read], e[lo:hi][read], x[lo:hi][read]
+            r, each = self.row[u], self.end[u] - self.start[u]
+            self.scored += int(each.sum())
+            now = part[maybe]
+            # rows that few of the queries ask for are added posting by posting
+            asked = np.bincount(r, minlength=len(self.dense[b]))
+            few = asked[r] * each * FEW < now.size
+            which, p = S.ranges(self.start[u[few]], self.end[u[few]])
+            np.add.at(now.reshape(-1), (i[few] * now.shape[1] - b * BLOCK)[which] + self.doc[p], v[few].astype(np.float32)[which] * self.impact[p])
+            i, r, v = i[~few], r[~few], v[~few]
+            used = np.flatnonzero(np.bincount(r, minlength=len(asked)))
+            back = np.zeros(len(asked), np.int64)
             back[used] = np.arange(len(used))
             weight = np.zeros((len(maybe), len(used)), np.float32)
-            weight[i, back[r]] = x[lo:hi][read]
-            now = part[maybe] + weight @ (self.dense[b] if len(used) == len(back) else self.dense[b][used])
-            self.scored += int((self.end[e[lo:hi][read]] - self.start[e[lo:hi][read]]).sum())
+            weight[i, back[r]] = v
+            now += weight @ (self.dense[b] if len(used) == len(back) else self.dense[b][used])
             part[maybe] = now
             rest[maybe, b] = 0
             # the k best of the blocks read so far
