@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickforge.llm import language_id, lm_scoring, packing, toxicity, url_filter
+from tickforge.llm import language_id, lm_scoring, packing, queries, toxicity, url_filter
 from tickforge.llm.queries import tokenizer_path
 from tests.conftest import SF
 
@@ -246,6 +246,78 @@ def test_lm_states_follow_the_text(spark, make):
     assert got[0].score > got[1].score
 
 
+def lm_slow_code(text, levels):
+    """Bytes one by one, bits one by one; cells by their whole contexts, in dictionaries."""
+    start = [(1, 0, 0, 0), (0.9, 0.2, 0, 0), (0.9, 0, 0.2, 0), (0.9, 0.1, 0.1, 0), (0.9, 0, 0, 0.3), (0.9, 0.1, 0, 0.2), (0.9, 0, 0.1, 0.2), (0.8, 0.1, 0.1, 0.3)]
+    weights = {(g, k): list(start[g]) for g in range(8) for k in range(4)}
+    squash = lambda z: 1 / (1 + math.exp(-z))
+    table = {(c, k): squash(k * 0.75 - 12) for c in range(256) for k in range(33)}
+    cells, total, word, before = {}, 0.0, b"", b""
+    for at, byte in enumerate(text):
+        contexts = [(b"   " + text[:at])[-3:], (1, word), (before, word)]
+        for j in range(8):
+            c, y, level = (byte | 256) >> (8 - j), byte >> (7 - j) & 1, int(levels[at][j])
+            own = [cells.get((k, x, c), (32768, 0)) for k, x in enumerate(contexts)]
+            x = [math.copysign(min(12, 2 ** (abs(level) / 4) - 1), level)] + [math.log(max(0.5, p >> 6) / (1024 - (p >> 6))) for p, _ in own]
+            w = weights[sum((n > 0) << k for k, (_, n) in enumerate(own)), sum(abs(level) >= t for t in (5, 9, 12))]
+            z = min(11.99, max(-11.99, sum(a * b for a, b in zip(w, x, strict=True))))
+            mixed = squash(math.floor((z + 12) * 64) / 64 - 12)
+            k, f = divmod((z + 12) / 0.75, 1)
+            refined = min(1 - 1e-6, max(1e-6, (mixed + table[c, k] * (1 - f) + table[c, k + 1] * f) / 2))
+            total += math.log10(refined if y else 1 - refined)
+            for i in range(4):
+                w[i] += 0.02 * (y - mixed) * x[i]
+            for i, share in ((k, 1 - f), (k + 1, f)):
+                table[c, i] += 0.02 * (y - table[c, i]) * share
+            for i, (context, (p, n)) in enumerate(zip(contexts, own, strict=True)):
+                cells[i, context, c] = p + ((65535 * y - p) * int(32768 / (min(n, 60) + 1.5)) >> 15), n + 1
+        before, word = (word, b"") if byte in (0x20, 0x0A) else (before, word + bytes([byte]))
+    return total
+
+
+def test_lm_codes_byte_by_byte(spark, make, monkeypatch):
+    """Against a slow coder, whatever share of the words is held by all tasks."""
+    texts = lm_corpus()
+    docs = make(texts).withColumn("train", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) != 2)
+    known = lm_scoring.learn(spark, docs)
+    levels = {}
+    for r in known.chunks.collect():
+        v = lm_scoring.Vocabulary.unpack(bytes(r.payload))
+        coded = lm_scoring.Coded(v)
+        x = known.model.levels(coded, lm_scoring.Paths(coded, lm_scoring._unpack_paths(bytes(r.paths)), known.buckets)).view(np.int8).reshape(-1, 8)[coded.beginning]
+        levels |= {k: x[coded.word == i] for i, k in enumerate(v.keys.tolist())}
+
+    def slow(text):
+        low = bytes(x + 32 if 65 <= x <= 90 else x for x in (text or "").encode())
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        t = lm_scoring.Tokens.of(data, np.array([0, len(data)]), known.states)
+        return lm_slow_code(b"".join(w + b" " for w in low.split()) + b"\n", np.concatenate([levels[k] for k in t.keys(t.kind).tolist()]))
+
+    want = [slow(t) for t in texts]
+    frozen = lm_scoring.score(spark, make(texts)).orderBy("doc_id").collect()
+    for head in (1 << 19, 40, 0):
+        monkeypatch.setattr(lm_scoring, "CODE_HEAD", head)
+        got = lm_scoring.code(spark, make(texts)).orderBy("doc_id").collect()
+        assert [g.score for g in got] == pytest.approx(want, rel=2e-3)
+        assert [(g.doc_id, g.held_out, g.n_tokens, g.n_known, g.train_tokens) for g in got] == [(f.doc_id, f.held_out, f.n_tokens, f.n_known, f.train_tokens) for f in frozen]
+        assert [g.base_score for g in got] == pytest.approx([f.base_score for f in frozen])
+
+
+def test_lm_learns_while_it_codes(spark, make, monkeypatch):
+    """The query's score depends on the order of words, and what a text repeats costs less."""
+    r = random.Random(5)
+    words = ["".join(r.choices("abcdefgh", k=5)) for _ in range(300)]
+    phrase = r.sample(words, 12)
+    again = phrase * 6
+    texts = [" ".join(r.choices(words, k=60)) for _ in range(80)] + [" ".join(again), " ".join(r.sample(again, len(again)))]
+    monkeypatch.setattr(queries, "table", lambda *_: make(texts))
+    got = {g.doc_id: g for g in queries.op2_lm_scoring(spark, "").where("doc_id >= 80").collect()}
+    assert got[80].base_score == pytest.approx(got[81].base_score) and got[80].score > 0.8 * got[81].score > got[81].base_score
+    assert lm_scoring.code(spark, make([])).count() == 0
+    odd = lm_scoring.code(spark, make([None, "", "x " * 50_000, "é"], [(1, "a", None, None, None, None, None, None), (None, "a", None, None, None, None, None, None)])).collect()
+    assert len(odd) == 6 and all(math.isfinite(g.score) and g.score < 0 for g in odd) and sorted(g.n_tokens for g in odd) == [1, 1, 2, 2, 2, 50_001]
+
+
 def test_lm_beats_the_base_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = lm_scoring.score(spark, docs).where("held_out and n_tokens > 20").toPandas()
