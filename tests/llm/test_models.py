@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickforge.llm import language_id, lm_scoring, packing, queries, toxicity, url_filter
+from tickforge.llm import bit_coder, language_id, lm_scoring, packing, queries, toxicity, url_filter
 from tickforge.llm.queries import tokenizer_path
 from tests.conftest import SF
 
@@ -303,6 +303,20 @@ def test_lm_codes_byte_by_byte(spark, make, monkeypatch):
         assert [g.base_score for g in got] == pytest.approx([f.base_score for f in frozen])
 
 
+def test_lm_coder_keeps_lines_of_contexts_that_come_again(spark):
+    """A text takes room for contexts that it repeats, not for all; one with more contexts than there are places takes no more lines than those."""
+    bit_coder.register(spark)
+    kind = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass("tickforge.BitCoder")
+    coder = kind.getDeclaredConstructor(spark.sparkContext._gateway.new_array(spark._jvm.java.lang.Class, 0)).newInstance(spark.sparkContext._gateway.new_array(spark._jvm.java.lang.Object, 0))
+    field = lambda name: spark._jvm.java.lang.reflect.Array.getLength(kind.getDeclaredField(name).get(coder))
+    r = random.Random(3)
+    for size, most in ((20_000, 1 << 18), (600_000, 16 * (3 << 19) * 2)):
+        text = bytes(r.choices(range(97, 123), k=size))
+        alone = coder.call(bytearray(text), bytearray(8 * size))
+        assert -8 * size < alone < 0 and field("cells") <= most
+        assert coder.call(bytearray(text), bytearray(8 * size)) == alone
+
+
 def test_lm_learns_while_it_codes(spark, make, monkeypatch):
     """The query's score depends on the order of words, and what a text repeats costs less."""
     r = random.Random(5)
